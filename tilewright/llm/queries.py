@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .op04_pack import op4_best_fit_packing
+from .op09_minhash import op9_minhash_near_dedup
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_best_fit_packing,)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_best_fit_packing, op9_minhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
