@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,3 +47,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(n_rows: Column, per: int) -> Column:
     """Number of salts for a group of so many rows."""
     return F.greatest(F.lit(1), F.ceil(n_rows / F.lit(per))).cast("int")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path of ``fresh_path`` that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove shuffle files and checkpoints that nothing refers to any more.
+
+    The cleaner acts when the driver collects garbage, which a driver with little to do may not do for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .op03_toxicity import op3_toxicity
 from .op04_pack import op4_best_fit_packing
 from .op05_secrets import OP5_SQL, op5_secret_scan
+from .op06_suffix_dedup import op6_suffix_dedup
 from .op08_fingerprint import op8_order_minhash
 from .op09_minhash import op9_minhash_near_dedup
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_toxicity, op4_best_fit_packing, op5_secret_scan, op8_order_minhash, op9_minhash_near_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_toxicity, op4_best_fit_packing, op5_secret_scan, op6_suffix_dedup, op8_order_minhash, op9_minhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {"op5_secret_scan": OP5_SQL}
