@@ -119,6 +119,18 @@ def mix(docs: DataFrame, domain: Column, weights: list[Column], share: float = 1
     return out.select(*levels, "doc_id", "epoch", "tokens", take.alias("take"))
 
 
+def mixed(docs: DataFrame, domain: Column, weights: list[Column], share: float, seed: str = "mix") -> DataFrame:
+    """The rows of ``docs``, whole, that one epoch takes: ``share`` of all tokens, by weight. The last document of a prefix counts as taken."""
+    levels = ["domain", "lang", "source"]
+    named = leaf_columns(docs, domain)
+    keys = [F.col(f"{x}_").alias(x) for x in levels]
+    units = named.select(*keys, "doc_id", F.col("tokens_").alias("tokens")).where("tokens > 0")
+    units = cut(units.groupBy(*levels, "doc_id").agg(F.sum("tokens").cast("long").alias("tokens")))
+    leaf_plan = plan(units, levels, weights, F.floor(F.col("tokens") * F.lit(share)), 1, seed)
+    held = named.where("tokens_ > 0").select(F.struct(*docs.columns).alias("row_"), *keys, "doc_id")
+    return taken(held, leaf_plan, levels, seed).select("row_.*")
+
+
 #: The mixture of the query: fixed values. Weights of domains, languages and sources.
 DOMAIN_SQL = "case when substr(md5(source), 1, 1) < '8' then 'web' else 'books' end"
 WEIGHTS_SQL = ["case domain when 'web' then 3 else 2 end", "case lang when 'en' then 6 when 'de' then 2 when 'fr' then 2 else 1 end", "case source when 'src0' then 4 else 1 end"]

@@ -58,6 +58,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, whole, whose score is under 0.5."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(sent.value.scores(*text_bytes(batch.column("text"))) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fits and scores. Columns of ``docs`` besides doc_id and text are ignored."""
     return score(docs, fit(docs, labels))

@@ -54,13 +54,13 @@ def looks_live(value: Column) -> Column:
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, doc_id) of ``docs`` and their spans (row, kind_no, kind, start, end, verdict).
+    """Rows (row, doc_id, text_h) of ``docs`` and their spans (row, kind_no, kind, start, end, verdict).
 
     verdict: "example", "live" or "other". Owner and repository columns may be null: null is one owner.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(text).alias("text_h"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
         F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repository]).alias("repository"),
         *[_matches(text, k).alias(k) for k in KINDS],
@@ -89,7 +89,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = (
     # Bare runs count only where the same value is a credential elsewhere.
     spans = spans.where((F.col("kind_no") < 3) | (F.col("first") < 3))
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind_no") + 1)
-    return rows.select("row", "doc_id"), spans.select("row", "kind_no", name.alias("kind"), "start", "end", "verdict", "n_owners", "n_repositories")
+    return rows.select("row", "doc_id", "text_h"), spans.select("row", "kind_no", name.alias("kind"), "start", "end", "verdict", "n_owners", "n_repositories")
 
 
 def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
@@ -116,6 +116,42 @@ def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...]
     )
 
 
+MASK = "[SECRET]"
+
+
+def redact(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+    """``docs`` with each credential that isn't a widely copied example replaced by ``MASK``, in columns text and n_chars.
+
+    Spans that overlap or touch become one mask. Documents without credentials stay as they are.
+    """
+    rows, spans = scan(docs, owner, repository)
+    before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.where("verdict <> 'example'").withColumn("reach", F.max("end").over(before))
+    run = F.sum((F.col("reach").isNull() | (F.col("start") > F.col("reach"))).cast("int"))
+    spans = spans.withColumn("run", run.over(Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy("row", "run").agg(F.min("start").alias("s"), F.max("end").alias("e"))
+    spans = spans.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans_"))
+    # Rows of one doc_id and one text are redacted alike.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    spans = cut(rows.join(spans, "row").select(key.alias("id_"), F.col("text_h").alias("h_"), "spans_").dropDuplicates(["id_", "h_"]))
+    names = docs.columns
+    text = F.coalesce(F.col("text"), F.lit(""))
+    out = docs.withColumns({"id_": key, "h_": F.xxhash64(text)}).join(spans, ["id_", "h_"], "left")
+    n = F.size("spans_")
+
+    def piece(i: Column) -> Column:
+        begin = F.coalesce(F.get("spans_", i - 1)["e"], F.lit(0))
+        end = F.coalesce(F.get("spans_", i)["s"], F.length("text"))
+        return F.substring(F.col("text"), (begin + 1).cast("int"), (end - begin).cast("int"))
+
+    masked = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), MASK)).otherwise(F.col("text"))
+    out = out.withColumn("text", masked)
+    if "n_chars" in names:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(n > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*names)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
