@@ -2,7 +2,7 @@
 
 Each input partition tokenises its documents, cuts those that are too long, and packs its pieces by
 best fit in order of falling length. Nearly full bins are final. Of the others the emptiest, a bounded
-share, go on as items, whole, to a round that packs the leftovers of several partitions together; the
+number, go on as items, whole, to a round that packs the leftovers of several partitions together; the
 rounds end when one partition holds what is left. No task ever holds more than the pieces of one input
 split or ``FAN_IN`` bounded leftovers.
 """
@@ -27,8 +27,8 @@ from .word_bpe import public_path, word_bpe
 FAN_IN = 16
 #: A bin that lacks at most this share of its capacity is final.
 NEARLY_FULL = 1 / 256
-#: Of a task's bins at most 1 / KEEP_OF go on to the next round, and never more than MOST_KEPT.
-KEEP_OF, MOST_KEPT = 4, 20_000
+#: Of a task's bins at most so many, the emptiest, go on to the next round.
+MOST_KEPT = 20_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -62,8 +62,7 @@ def _settle(filled: np.ndarray, capacity: int, last: bool) -> np.ndarray:
     if last:
         return np.zeros(len(filled), bool)
     low = np.flatnonzero(capacity - filled > capacity * NEARLY_FULL)
-    most = min(MOST_KEPT, max(1, len(filled) // KEEP_OF))
-    low = low[np.argsort(filled[low], kind="stable")][:most]
+    low = low[np.argsort(filled[low], kind="stable")][:MOST_KEPT]
     out = np.zeros(len(filled), bool)
     out[low] = True
     return out
