@@ -2,7 +2,7 @@
 
 Each input partition tokenises its documents, cuts those that are too long, and packs its pieces by
 best fit in order of falling length. Nearly full bins are final. Of the others the emptiest, a bounded
-number, go on as items, whole, to a round that packs the leftovers of several partitions together; the
+number, go on as items to a round that packs the leftovers of several partitions together; the
 rounds end when one partition holds what is left. No task ever holds more than the pieces of one input
 split or ``FAN_IN`` bounded leftovers.
 """
@@ -57,15 +57,24 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, places, np.array(filled, np.int64)
 
 
-def _settle(filled: np.ndarray, capacity: int, last: bool) -> np.ndarray:
-    """Which bins go on to the next round."""
+def _settled(sizes: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Best fit, and which bins go on to the next round: each item's bin and place, each bin's content and whether it goes on.
+
+    Underfull bins go on whole, the emptiest ``MOST_KEPT``. Where there are so few that all of their items
+    stay below that number, each item goes on as a bin of its own, which leaves the next round more choice.
+    """
+    bins, places, filled = best_fit(sizes, capacity)
+    go_on = np.zeros(len(filled), bool)
     if last:
-        return np.zeros(len(filled), bool)
+        return bins, places, filled, go_on
     low = np.flatnonzero(capacity - filled > capacity * NEARLY_FULL)
-    low = low[np.argsort(filled[low], kind="stable")][:MOST_KEPT]
-    out = np.zeros(len(filled), bool)
-    out[low] = True
-    return out
+    go_on[low[np.argsort(filled[low], kind="stable")][:MOST_KEPT]] = True
+    items = np.flatnonzero(go_on[bins])
+    if len(low) <= MOST_KEPT and len(items) <= MOST_KEPT:
+        bins[items], places[items] = len(filled) + np.arange(len(items)), 0
+        filled = np.concatenate([filled, sizes[items]])
+        go_on = np.concatenate([np.zeros_like(go_on), np.ones(len(items), bool)])
+    return bins, places, filled, go_on
 
 
 def pieces_of(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> DataFrame:
@@ -87,8 +96,7 @@ def pieces_of(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> D
                         for col, v in zip(cols, (doc_id, k, start, len(part), zlib.crc32(part)), strict=True):
                             col.append(v)
         sizes = np.array(cols[3], np.int64)
-        bins, places, filled = best_fit(sizes, capacity)
-        go_on = _settle(filled, capacity, False)
+        bins, places, filled, go_on = _settled(sizes, capacity, False)
         part = TaskContext.get().partitionId()
         arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
         arrays += [pa.array(bins + (part << 32)), pa.array(places), pa.array(filled[bins]), pa.array(go_on[bins])]
@@ -108,8 +116,7 @@ def _next_round(items: DataFrame, capacity: int, level: int, last: bool) -> Data
         for part in np.unique(parts).tolist():
             mine = np.flatnonzero(parts == part)
             mine = mine[np.argsort(old[mine])]
-            bins, places, filled = best_fit(sizes[mine], capacity)
-            go_on = _settle(filled, capacity, last)
+            bins, places, filled, go_on = _settled(sizes[mine], capacity, last)
             new = bins + (level << 56) + (part << 32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (old[mine], new, places, filled[bins], go_on[bins], np.full(len(mine), part, np.int64))],
