@@ -184,7 +184,7 @@ def test_rings(spark):
         inside = lambda r: np.array([[_in((x, y), r[0]) for x in xs[::6]] for y in xs[::6]])  # noqa: E731, B023
         assert abs(rings.overlap_area(a, b) - (inside(a) & inside(b)).mean() * 6.25) < 0.02
     hole = [np.array([(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], float), np.array([(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)], float)]
-    as_rows = [[{"x": x, "y": y} for x, y in r] for r in hole]
+    as_rows = [[{"x": float(x), "y": float(y)} for x, y in r] for r in hole]
     df = spark.createDataFrame([(as_rows, bytearray(rings.to_wkb(hole)))], f"rings {rings.RINGS}, wkb binary")
     r = df.select(rings.area(F.col("rings")), *rings.centroid(F.col("rings")), rings.geometry_type(F.col("wkb")), rings.wkb_rings(F.col("wkb")), rings.area_in_box(F.col("rings"), *map(F.lit, (0.0, 0.0, 2.0, 2.0))), rings.shared_area(F.col("rings"), F.col("rings"))).first()
     assert r[0] == 15 and abs(r[1] - (32 - 1.5) / 15) < 1e-12 and r[3] == "Polygon" and r[4][0] == [[(p["x"], p["y"]) for p in q] for q in as_rows]
