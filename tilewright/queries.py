@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .functions import crs, paths, rings
+from .functions import crs, paths, registry, rings
 from .functions.box import PREDICATES, Box
-from .operators import cells, dedup
+from .operators import cells, checks, dedup
 from .operators.grid import COLUMN, ROW, Grid, children, level_of, parent, tile_bounds
 from .plans import prep, staging
 
@@ -229,6 +229,22 @@ def grid_overlay_symmetric_difference(spark, sf_dir):
     return GRID.overlay(_feat(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1"), "symmetric_difference").select("fid", ROW, COLUMN, "area")
 
 
+@query(f"""select filename, coalesce(bool_and(coalesce(geom_type = 'Polygon', false)), false) as only_polygons, coalesce(bool_or(geom_type = 'MultiPolygon'), false) as multipolygons,
+count(*) filter (fid % 3 = 0) as n_true, coalesce(bool_or(geom_type is null), false) as any_null, count(distinct geom_type) as n_types from {FEAT} group by filename""")
+def table_checks(spark, sf_dir):
+    feat = _feat(spark, sf_dir).withColumn("label", F.when(F.col("fid") % 3 == 0, True))
+    wanted = {"only_polygons": checks.all_of_type("Polygon"), "multipolygons": checks.contains_multipolygons(), "n_true": checks.n_true("label"), "any_null": checks.any_null("geom_type"), "n_types": F.count_distinct("geom_type")}
+    return checks.check(feat, wanted, ["filename"])
+
+
+@query(f"select fid, {_TILE.format(c=_COL, r=_ROW)} as tile, {_COL} // 2 as parent_x from {PTS} where x > -180 and y > -90")
+def sql_functions(spark, sf_dir):
+    """The same lookup as ``tile_from_xy``, in SQL by the registered functions."""
+    registry.register(spark)
+    pts = fixtures.load(spark, sf_dir, "pts").where("x > -180 and y > -90")
+    return spark.sql("select fid, tw_tile_text(tw_tile_column(x, 5), tw_tile_row(y, 5), 5) as tile, tw_parent_x(tw_tile_column(x, 5)) as parent_x from {pts}", pts=pts)
+
+
 # Paths and preparation.
 
 _PATHS = paths.TilePaths("WGS1984Quad")
