@@ -115,7 +115,11 @@ def test_odd_rows(spark):
     """Null ids and texts, repeated rows and an extra column go through every stage that returns documents."""
     rows = [(1, "a b c d e f", "en", "s", 11, 0), (1, "a b c d e f", "en", "s", 11, 0), (None, "x y z", None, None, None, 1), (2, None, "en", "s", None, 2), (3, "", "de", "s", 0, 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row int")
+    docs = docs.withColumns({c: p.F.lit(7) for c in ("row_", "id_", "h_", "spans_", "text_", "n_", "domain", "tokens", "lang_", "kept", "rep", "sig", "epoch", "o")})
     got = p.near_dedup(spark, docs, "")
     assert got.columns == docs.columns and sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "3", "None"]
+    redacted = p.secrets(spark, docs, "")
+    assert redacted.columns == docs.columns and redacted.count() == 5 and {r.lang_ for r in redacted.collect()} == {7}
+    assert {tuple(r)[6:] for r in p.mixture(spark, docs, "").collect()} == {(7,) * 14}
     assert op01_mix.mixed(docs, p.F.lit("d"), [p.F.lit(1)] * 3, 1.0).columns == docs.columns
     assert sorted(str(r.doc_id) for r in p.mixture(spark, docs, "").collect()) in (["1", "1"], ["1", "1", "None"], ["None"])

@@ -134,22 +134,22 @@ def redact(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] =
     # Rows of one doc_id and one text are redacted alike.
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     spans = cut(rows.join(spans, "row").select(key.alias("id_"), F.col("text_h").alias("h_"), "spans_").dropDuplicates(["id_", "h_"]))
-    names = docs.columns
+    # The rows travel as one struct, so that columns of theirs can have any names.
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumns({"id_": key, "h_": F.xxhash64(text)}).join(spans, ["id_", "h_"], "left")
-    n = F.size("spans_")
+    out = docs.select(F.struct(*docs.columns).alias("row_"), key.alias("id_"), F.xxhash64(text).alias("h_")).join(spans, ["id_", "h_"], "left")
+    n, text = F.size("spans_"), F.col("row_.text")
 
     def piece(i: Column) -> Column:
         begin = F.coalesce(F.get("spans_", i - 1)["e"], F.lit(0))
-        end = F.coalesce(F.get("spans_", i)["s"], F.length("text"))
-        return F.substring(F.col("text"), (begin + 1).cast("int"), (end - begin).cast("int"))
-
-    masked = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), MASK)).otherwise(F.col("text"))
-    out = out.withColumn("text", masked)
-    if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(n > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*names)
+        end = F.coalesce(F.get("spans_", i)["s"], F.length(text))
+        return F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
+
+    masked = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), MASK)).otherwise(text)
+    out = out.withColumn("text_", masked)
+    new = {c: F.col(f"row_.`{c}`") for c in docs.columns} | {"text": F.col("text_")}
+    if "n_chars" in new:
+        new["n_chars"] = F.when(n > 0, F.length("text_").cast(docs.schema["n_chars"].dataType)).otherwise(new["n_chars"])
+    return out.select(*[new[c].alias(c) for c in docs.columns])
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
