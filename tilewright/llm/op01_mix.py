@@ -21,6 +21,13 @@ from ._shared import cut, table
 WHITE = "[\\x20\\x09-\\x0D]"
 #: Bits of the order's hash, and of a step of the descent.
 ORDER_BITS, STEP_BITS, STEPS = 60, 6, 3
+#: A table of at most so many leaves is broadcast, which spares the rows a shuffle by leaf; larger ones are joined by shuffle.
+MOST_LEAVES = 50_000
+
+
+def _of_leaves(leaves: DataFrame) -> DataFrame:
+    """``leaves``: a checkpointed table, whose size is looked up."""
+    return F.broadcast(leaves) if leaves.limit(MOST_LEAVES + 1).count() <= MOST_LEAVES else leaves
 
 
 def n_words(text: Column) -> Column:
@@ -71,7 +78,7 @@ def plan(units: DataFrame, levels: list[str], weights: list[Column], target: Col
     got = budgets(leaves, levels, weights, target, max_epochs)
     got = got.withColumn("epochs", F.expr("budget div tokens")).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
     got = cut(got.select(*levels, "budget", "epochs", "rest"))
-    left = units.join(got.where("rest > 0"), levels).withColumn("o", place(seed, F.col("epochs"), F.col("doc_id"))).select(*levels, "doc_id", "tokens", "rest", "o")
+    left = units.join(_of_leaves(got).where("rest > 0"), levels).withColumn("o", place(seed, F.col("epochs"), F.col("doc_id"))).select(*levels, "doc_id", "tokens", "rest", "o")
     for step in range(STEPS):
         digit = F.shiftright("o", ORDER_BITS - STEP_BITS * (step + 1)).bitwiseAND(F.lit((1 << STEP_BITS) - 1))
         left = left.withColumn("digit", digit)
@@ -79,7 +86,7 @@ def plan(units: DataFrame, levels: list[str], weights: list[Column], target: Col
         upto = Window.partitionBy(*levels).orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
         at = sums.withColumn("upto", F.sum("t").over(upto)).where("upto >= rest and upto - t < rest")
         at = cut(at.select(*levels, "digit", (F.col("rest") - F.col("upto") + F.col("t")).cast("long").alias("inner")))
-        left = left.join(at, [*levels, "digit"]).withColumn("rest", F.col("inner")).drop("digit", "inner")
+        left = left.join(_of_leaves(at), [*levels, "digit"]).withColumn("rest", F.col("inner")).drop("digit", "inner")
     upto = Window.partitionBy(*levels).orderBy("o", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     last = left.withColumn("upto", F.sum("tokens").over(upto)).where("upto >= rest and upto - tokens < rest")
     last = last.select(*levels, F.struct("o", "doc_id").alias("last"), (F.col("rest") - F.col("upto") + F.col("tokens")).cast("long").alias("last_take"))
@@ -88,7 +95,7 @@ def plan(units: DataFrame, levels: list[str], weights: list[Column], target: Col
 
 def taken(rows: DataFrame, leaf_plan: DataFrame, levels: list[str], seed: str) -> DataFrame:
     """``rows`` (levels, doc_id, ...) once for each epoch that takes them: adds epoch, whole, last_take."""
-    out = rows.join(leaf_plan, levels)
+    out = rows.join(_of_leaves(leaf_plan), levels)
     here = F.struct(place(seed, F.col("epochs"), F.col("doc_id")).alias("o"), F.col("doc_id").alias("doc_id"))
     part = F.when((F.col("rest") > 0) & (here <= F.col("last")), F.array(F.col("epochs"))).otherwise(F.array().cast("array<bigint>"))
     whole = F.when(F.col("epochs") > 0, F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)).otherwise(F.array().cast("array<bigint>"))
@@ -96,10 +103,9 @@ def taken(rows: DataFrame, leaf_plan: DataFrame, levels: list[str], seed: str) -
     return out.withColumn("is_last", F.col("is_last") & (F.col("epoch") == F.col("epochs")))
 
 
-def leaf_columns(docs: DataFrame, domain: Column, language: str = "lang", source: str = "source") -> DataFrame:
-    """Adds domain_, lang_, source_ (null is a leaf of its own, "(none)") and doc_id as order key and n_tokens_."""
-    named = lambda c: F.coalesce(c.cast("string"), F.lit("(none)"))
-    return docs.withColumns({"domain_": named(domain), "lang_": named(F.col(language)), "source_": named(F.col(source)), "tokens_": n_words(F.col("text"))})
+def leaf_keys(domain: Column, language: str = "lang", source: str = "source") -> dict[str, Column]:
+    """domain, lang and source of a row; null is a leaf of its own, "(none)"."""
+    return {k: F.coalesce(c.cast("string"), F.lit("(none)")) for k, c in (("domain", domain), ("lang", F.col(language)), ("source", F.col(source)))}
 
 
 def mix(docs: DataFrame, domain: Column, weights: list[Column], share: float = 1.0, max_epochs: int = 2, seed: str = "mix") -> DataFrame:
@@ -111,7 +117,7 @@ def mix(docs: DataFrame, domain: Column, weights: list[Column], share: float = 1
     of a leaf that repeat a doc_id count as one document; a null doc_id is one, too.
     """
     levels = ["domain", "lang", "source"]
-    units = leaf_columns(docs, domain).select(F.col("domain_").alias("domain"), F.col("lang_").alias("lang"), F.col("source_").alias("source"), "doc_id", F.col("tokens_").alias("tokens")).where("tokens > 0")
+    units = docs.select(*[c.alias(k) for k, c in leaf_keys(domain).items()], "doc_id", n_words(F.col("text")).alias("tokens")).where("tokens > 0")
     units = cut(units.groupBy(*levels, "doc_id").agg(F.sum("tokens").cast("long").alias("tokens")))
     target = F.floor(F.col("tokens") * F.lit(share))
     out = taken(units, plan(units, levels, weights, target, max_epochs, seed), levels, seed)
@@ -122,13 +128,12 @@ def mix(docs: DataFrame, domain: Column, weights: list[Column], share: float = 1
 def mixed(docs: DataFrame, domain: Column, weights: list[Column], share: float, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, whole, that one epoch takes: ``share`` of all tokens, by weight. The last document of a prefix counts as taken."""
     levels = ["domain", "lang", "source"]
-    named = leaf_columns(docs, domain)
-    keys = [F.col(f"{x}_").alias(x) for x in levels]
-    units = named.select(*keys, "doc_id", F.col("tokens_").alias("tokens")).where("tokens > 0")
+    # The rows travel as one struct, so that columns of theirs can have any names.
+    named = docs.select(F.struct(*docs.columns).alias("row_"), *[c.alias(k) for k, c in leaf_keys(domain).items()], "doc_id", n_words(F.col("text")).alias("n_tokens")).where("n_tokens > 0")
+    units = named.select(*levels, "doc_id", F.col("n_tokens").alias("tokens"))
     units = cut(units.groupBy(*levels, "doc_id").agg(F.sum("tokens").cast("long").alias("tokens")))
     leaf_plan = plan(units, levels, weights, F.floor(F.col("tokens") * F.lit(share)), 1, seed)
-    held = named.where("tokens_ > 0").select(F.struct(*docs.columns).alias("row_"), *keys, "doc_id")
-    return taken(held, leaf_plan, levels, seed).select("row_.*")
+    return taken(named.drop("n_tokens"), leaf_plan, levels, seed).select("row_.*")
 
 
 #: The mixture of the query: fixed values. Weights of domains, languages and sources.
