@@ -93,3 +93,46 @@ def test_packing(spark, medium):
 def test_best_fit():
     bins, places, filled = p.best_fit(np.array([5, 3, 3, 7, 2, 8]), 10)
     assert filled.tolist() == [10, 10, 8] and bins.tolist() == [2, 1, 2, 1, 0, 0] and places.tolist() == [0, 7, 5, 0, 8, 0]
+
+
+def plain_best_fit(sizes, capacity):
+    bins, rooms = [0] * len(sizes), []
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        fits = [(r, b) for b, r in enumerate(rooms) if r >= sizes[k]]
+        b = min(fits)[1] if fits else len(rooms)
+        rooms += [] if fits else [capacity]
+        rooms[b] -= sizes[k]
+        bins[k] = b
+    return bins, [capacity - r for r in rooms]
+
+
+def test_best_fit_by_runs():
+    """The plan on the histogram is item by item best fit."""
+    rng = np.random.default_rng(3)
+    for n, capacity in ((0, 9), (1, 9), (50, 1), (200, 40), (400, 100), (600, 4096), (300, 7), (500, 64)):
+        sizes = rng.integers(1, capacity + 1, n) // rng.integers(1, 9) + 1
+        sizes = np.minimum(sizes, capacity)
+        bins, places, filled = p.best_fit(sizes, capacity)
+        want = plain_best_fit(sizes.tolist(), capacity)
+        assert (bins.tolist(), filled.tolist()) == want
+        at = [0] * len(filled)
+        for k in sorted(range(n), key=lambda k: -sizes[k]):
+            assert places[k] == at[bins[k]]
+            at[bins[k]] += int(sizes[k])
+
+
+def test_packing_of_unlike_splits(spark):
+    """Splits of long pieces meet those of short ones, however many there are: as few sequences as one best fit over all has."""
+    rng = np.random.default_rng(4)
+    n = 32 * 1500
+    part = np.arange(n) // 1500
+    words = np.where(part % 2 == 0, rng.integers(140, 161, n), rng.integers(95, 106, n))
+    docs = spark.createDataFrame([(k, int(w)) for k, w in enumerate(words)], "doc_id long, w int").repartitionByRange(32, "doc_id")
+    rows = p.pack(docs.selectExpr("doc_id", "trim(repeat('the ', w)) as text"), 409).select("doc_id", "length", "sequence_id", "offset").toPandas()
+    assert len(rows) == n and sorted(rows.doc_id) == list(range(n))
+    got = rows.sort_values(["sequence_id", "offset"])
+    assert (got.offset == got.groupby("sequence_id").length.cumsum() - got.length).all()
+    filled = rows.groupby("sequence_id").length.sum()
+    want = p.best_fit(rows.length.to_numpy(np.int64), 409)[2]
+    assert filled.max() <= 409 and sorted(filled) == sorted(want)
+    assert len(filled) <= 1.1 * rows.length.sum() / 409

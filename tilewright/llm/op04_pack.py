@@ -1,84 +1,113 @@
-"""Best-fit packing of tokenised documents into sequences: hierarchical, with residual bins.
+"""Best-fit packing of tokenised documents into sequences: one best fit, in order of falling length, over all pieces.
 
-Each input partition tokenises its documents, cuts those that are too long, and packs its pieces by
-best fit in order of falling length. Nearly full bins are final. Of the others the emptiest, a bounded
-number, go on as items to a round that packs the leftovers of several partitions together; the
-rounds end when one partition holds what is left. No task ever holds more than the pieces of one input
-split or ``FAN_IN`` bounded leftovers.
+Each input partition tokenises its documents, cuts those that are too long, and numbers its pieces among
+those of equal length. Best fit needs no more of the pieces than how many there are of each length: pieces of
+equal length fill runs of bins with equal room, many at a time. So the driver plans on the histogram of
+lengths, which has at most ``capacity`` entries, and each piece finds its bin from its length and its number.
+No task ever holds more than the pieces of one input split and the plan.
 """
 
 from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._numpy_text import row_chunks, text_bytes
 from ._shared import cut, table, texts
 from .word_bpe import public_path, word_bpe
 
-#: Leftovers of so many partitions meet in one task of the next round.
-FAN_IN = 16
-#: A bin that lacks at most this share of its capacity is final.
-NEARLY_FULL = 1 / 256
-#: Of a task's bins at most so many, the emptiest, go on to the next round.
-MOST_KEPT = 20_000
-
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class Plan(NamedTuple):
+    """Where pieces go, numbered from the longest to the shortest, those of equal length in a row."""
+
+    #: Falling; the number of each length's first piece.
+    lengths: np.ndarray
+    starts: np.ndarray
+    #: For runs of pieces: the number of the first, how many go into each bin, the first bin, and the content of these bins before.
+    first: np.ndarray
+    each: np.ndarray
+    bin: np.ndarray
+    before: np.ndarray
+
+    def places(self, lengths: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bin and offset of pieces, by length and number among those of equal length."""
+        number = self.starts[np.searchsorted(-self.lengths, -lengths)] + ranks
+        run = np.searchsorted(self.first, number, "right") - 1
+        nth, within = np.divmod(number - self.first[run], self.each[run])
+        return self.bin[run] + nth, self.before[run] + within * lengths
+
+
+def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Plan:
+    """Best-fit decreasing of ``counts`` pieces of each of the different ``lengths``, a run of bins with equal room at a time.
+
+    A piece goes into the fullest bin that has room for it; of bins with equal room into the oldest.
+    """
+    order = np.argsort(-lengths)
+    lengths, counts = lengths[order].astype(np.int64), counts[order].astype(np.int64)
+    rooms: list[int] = []  # sorted
+    runs: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room to runs of bins [low, high), the last is the oldest
+    out: list[tuple[int, int, int, int]] = []
+    number = n_bins = 0
+
+    def leave(room: int, low: int, high: int) -> None:
+        if room and low < high:
+            if not runs[room]:
+                insort(rooms, room)
+            insort(runs[room], (low, high), key=lambda x: -x[0])
+
+    for length, left in zip(lengths.tolist(), counts.tolist(), strict=True):
+        while left:
+            at = bisect_left(rooms, length)
+            if at < len(rooms):
+                room = rooms[at]
+                low, high = runs[room].pop()
+                if not runs[room]:
+                    del rooms[at]
+            else:
+                room, low = capacity, n_bins
+                n_bins = high = low + -(-left // (capacity // length))
+            each = room // length
+            taken = min(left, each * (high - low))
+            out.append((number, each, low, capacity - room))
+            full, more = divmod(taken, each)
+            leave(room - each * length, low, low + full)
+            if more:
+                leave(room - more * length, low + full, low + full + 1)
+            leave(room, low + full + (more > 0), high)
+            number, left = number + taken, left - taken
+    return Plan(lengths, np.cumsum(counts) - counts, *np.array(out, np.int64).reshape(-1, 4).T.copy())
+
+
+def ranked(sizes: np.ndarray) -> np.ndarray:
+    """Each item's number among those of equal size."""
+    order = np.argsort(sizes, kind="stable")
+    ranks = np.empty(len(sizes), np.int64)
+    ranks[order] = np.arange(len(sizes)) - np.searchsorted(sizes[order], sizes[order])
+    return ranks
+
+
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best-fit decreasing: each item's bin and place in it, and each bin's content.
 
     Ties: items of equal size keep their order; of bins with equal room the oldest is taken.
     """
-    order = np.argsort(-sizes, kind="stable")
-    bins, places = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-    rooms: list[tuple[int, int]] = []  # (room, bin), sorted; full bins leave
-    filled: list[int] = []
-    for k in order.tolist():
-        size = int(sizes[k])
-        at = bisect_left(rooms, (size, -1))
-        if at < len(rooms):
-            room, b = rooms.pop(at)
-        else:
-            room, b = capacity, len(filled)
-            filled.append(0)
-        bins[k], places[k] = b, filled[b]
-        filled[b] += size
-        if room > size:
-            insort(rooms, (room - size, b))
-    return bins, places, np.array(filled, np.int64)
-
-
-def _settled(sizes: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Best fit, and which bins go on to the next round: each item's bin and place, each bin's content and whether it goes on.
-
-    Underfull bins go on whole, the emptiest ``MOST_KEPT``. Where there are so few that all of their items
-    stay below that number, each item goes on as a bin of its own, which leaves the next round more choice.
-    """
-    bins, places, filled = best_fit(sizes, capacity)
-    go_on = np.zeros(len(filled), bool)
-    if last:
-        return bins, places, filled, go_on
-    low = np.flatnonzero(capacity - filled > capacity * NEARLY_FULL)
-    go_on[low[np.argsort(filled[low], kind="stable")][:MOST_KEPT]] = True
-    items = np.flatnonzero(go_on[bins])
-    if len(low) <= MOST_KEPT and len(items) <= MOST_KEPT:
-        bins[items], places[items] = len(filled) + np.arange(len(items)), 0
-        filled = np.concatenate([filled, sizes[items]])
-        go_on = np.concatenate([np.zeros_like(go_on), np.ones(len(items), bool)])
-    return bins, places, filled, go_on
+    bins, places = plan(*np.unique(sizes, return_counts=True), capacity).places(sizes, ranked(sizes))
+    return bins, places, np.bincount(bins, sizes).astype(np.int64)
 
 
 def pieces_of(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> DataFrame:
-    """Rows (doc_id, piece, start, length, ids_crc32, bin, offset, filled, open, part): the first round."""
+    """Rows (doc_id, piece, start, length, ids_crc32, rank, part): the pieces, numbered in each partition among those of equal length."""
     path = None if vocabulary == "public" else vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,36 +125,23 @@ def pieces_of(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> D
                         for col, v in zip(cols, (doc_id, k, start, len(part), zlib.crc32(part)), strict=True):
                             col.append(v)
         sizes = np.array(cols[3], np.int64)
-        bins, places, filled, go_on = _settled(sizes, capacity, False)
-        part = TaskContext.get().partitionId()
         arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-        arrays += [pa.array(bins + (part << 32)), pa.array(places), pa.array(filled[bins]), pa.array(go_on[bins])]
-        arrays.append(pa.array(np.full(len(sizes), part, np.int64)))
-        yield pa.RecordBatch.from_arrays(arrays, [*[f.split()[0] for f in PIECE.split(", ")], "bin", "offset", "filled", "open", "part"])
+        arrays += [pa.array(ranked(sizes)), pa.array(np.full(len(sizes), TaskContext.get().partitionId(), np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, [*[f.split()[0] for f in PIECE.split(", ")], "rank", "part"])
 
-    return docs.mapInArrow(run, f"{PIECE}, bin long, offset long, filled long, open boolean, part long")
+    return docs.mapInArrow(run, f"{PIECE}, rank long, part long")
 
 
-def _next_round(items: DataFrame, capacity: int, level: int, last: bool) -> DataFrame:
-    """Packs leftover bins (part, bin, filled) as items; returns each one's new bin and its shift there."""
+def _placed(where: Plan):
+    """Pieces with a rank over the whole table to pieces with a sequence and an offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by ``part``: one group after the other."""
-        whole = pa.Table.from_batches(list(batches), schema=pa.schema([("part", pa.int64()), ("bin", pa.int64()), ("filled", pa.int64())]))
-        parts, old, sizes = (whole.column(c).to_numpy() for c in ("part", "bin", "filled"))
-        for part in np.unique(parts).tolist():
-            mine = np.flatnonzero(parts == part)
-            mine = mine[np.argsort(old[mine])]
-            bins, places, filled, go_on = _settled(sizes[mine], capacity, last)
-            new = bins + (level << 56) + (part << 32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (old[mine], new, places, filled[bins], go_on[bins], np.full(len(mine), part, np.int64))],
-                ["old", "bin", "shift", "filled", "open", "part"],
-            )
-
-    n = items.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    dealt = items.select((F.col("part") / FAN_IN).cast("long").alias("part"), "bin", "filled").repartition(int(n), "part")
-    return dealt.mapInArrow(run, "old long, bin long, shift long, filled long, open boolean, part long")
+        for batch in batches:
+            bins, offsets = where.places(*(batch.column(c).to_numpy() for c in ("length", "rank")))
+            rest = batch.drop_columns(["rank"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(bins), pa.array(offsets)], [*rest.schema.names, "sequence_id", "offset"])
+
+    return run
 
 
 def pack(docs: DataFrame, capacity: int = 4096, vocabulary: str = "public", end_id: int = 1) -> DataFrame:
@@ -139,27 +155,15 @@ def pack(docs: DataFrame, capacity: int = 4096, vocabulary: str = "public", end_
     if capacity < 1 or capacity >= 1 << 24:
         raise ValueError("capacity must be positive and below 2**24")
     placed = cut(pieces_of(texts(docs), capacity, vocabulary, end_id))
-    n_parts = placed.agg(F.max("part")).first()[0]
-    moves, level = placed.where("open").select("part", "bin", "filled").distinct(), 0
-    out = placed.select(*[f.split()[0] for f in PIECE.split(", ")], "bin", "offset")
-    n_parts = 1 if n_parts is None else n_parts + 1
-    steps = []
-    while n_parts > 1:
-        n_parts, level = -(-n_parts // FAN_IN), level + 1
-        step = cut(_next_round(moves, capacity, level, n_parts == 1))
-        steps.append(step)
-        moves = step.where("open").select("part", "bin", "filled").distinct()
-    # A bin's way through the rounds is followed from the last round back, on rows of one bin each.
-    way = None
-    for step in reversed(steps):
-        way = step.select("old", "bin", "shift") if way is None else step.alias("s").join(way.alias("w"), F.col("s.bin") == F.col("w.old"), "left").select(
-            F.col("s.old"), F.coalesce("w.bin", "s.bin").alias("bin"), (F.col("s.shift") + F.coalesce("w.shift", F.lit(0))).alias("shift")
-        )
-    if way is not None:
-        out = out.join(way.select(F.col("old").alias("bin"), F.col("bin").alias("to"), "shift"), "bin", "left").withColumns(
-            {"bin": F.coalesce("to", "bin"), "offset": F.col("offset") + F.coalesce("shift", F.lit(0))}
-        )
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
+    # How many pieces of each length the partitions before have.
+    of_part = placed.groupBy("part", "length").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    of_part = cut(of_part.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    histogram = of_part.groupBy("length").agg(F.sum("n").alias("n")).toPandas()
+    where = plan(histogram["length"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64), capacity)
+    out = placed.join(of_part.drop("n"), ["part", "length"])
+    out = out.select(*[f.split()[0] for f in PIECE.split(", ")], (F.col("rank") + F.col("before")).alias("rank"))
+    return out.mapInArrow(_placed(where), f"{PIECE}, sequence_id long, offset long")
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
