@@ -1,6 +1,9 @@
 """The permutation index against brute force."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tilewright.llm import op07_permutation_index as m
@@ -51,3 +54,25 @@ def test_copies_and_odd_rows(spark, monkeypatch):
     few = m.nearest(df.where("vec_id < 3"), F.col("vec_id") % 20 == 0)
     assert [i for i, _ in results(few)[0]] == [i for i, _ in brute(rows[:3], 20)[0]]
     assert m.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("lengths", ["equal", "uneven", "heavy"])
+def test_recall_on_skew(spark, tmp_path, lengths):
+    """A third of 40,000 vectors in one tight group: their pivots don't spoil the search for the others."""
+    rng = np.random.default_rng(1)
+    n, k = 40_000, 20
+    x = rng.normal(size=(n, 64))
+    group = rng.permutation(n)[: n // 3]
+    x[group] = rng.normal(size=64) + 0.1 * x[group]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x *= {"equal": np.ones(n), "uneven": rng.uniform(0.5, 2, n), "heavy": rng.lognormal(0, 1, n)}[lengths][:, None]
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": list(x)}), tmp_path / "v.parquet")
+    asked = np.arange(0, n, 400)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-score, 1)[:, :k]
+    got = results(m.nearest(spark.read.parquet(str(tmp_path / "v.parquet")), F.col("vec_id") % 400 == 0, k))
+    share = np.array([len({i for i, _ in got[q]} & set(w)) / k for q, w in zip(asked.tolist(), want.tolist(), strict=True)])
+    inside = np.isin(asked, group)
+    print(lengths, "inside", share[inside].mean(), "outside", share[~inside].mean())
+    assert share[inside].mean() >= 0.95 and share[~inside].mean() >= 0.95

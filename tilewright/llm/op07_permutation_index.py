@@ -1,13 +1,17 @@
 """Approximate nearest neighbours by a permutation index.
 
 A bounded sample of the vectors gives the pivots. Each vector is represented by the order of its nearest
-pivots, and posted in the inverted file of each of its ``POSTED`` nearest ones. A query reads the files of
-its own nearest pivots, ranks what it finds by the footrule distance of the two orders, and reranks the
-best by exact inner products in double precision.
+pivots by direction, and posted in the inverted file of each of its ``POSTED`` nearest ones. A query reads the files of
+its own nearest pivots, and scores all that it finds by exact inner products in double precision. There is
+no choice by the two orders before that: a footrule over all pivots costs more than the inner product, and
+where many pivots lie in one tight group their mutual order, which is noise, decides it.
+
+Very long vectors have large inner products with queries of other directions too: the longest are posted
+in a file of their own instead, which every query reads.
 
 Equal vectors are one entry of the index, with the smallest ids of those that hold it, as more can't be
 among the results. A pivot's file is dealt out in blocks of ``BLOCK`` entries by ``BLOCK`` queries, so that
-a pivot that is near to very many vectors is many tasks. A vector is ranked in the file of the first pivot
+a pivot that is near to very many vectors is many tasks. A vector is scored in the file of the first pivot
 of the query's order that it is posted under, and nowhere else.
 """
 
@@ -26,8 +30,9 @@ from ._shared import cut, table
 PIVOTS, MOST_PIVOTS = 256, 2048
 #: Nearest pivots that a vector is posted under, and that a query reads.
 POSTED = 16
-#: Of a file's block so many entries with the least footrule distance are reranked for a query.
-RERANKED = 256
+#: So many of the longest vectors, at most one of 16, are in the file that every query reads.
+LONGEST = 1024
+#: Entries and queries of a task.
 BLOCK = 4096
 
 
@@ -37,36 +42,33 @@ def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
     return np.array([r.vector for r in rows], np.float64)
 
 
-def _augmented(x: np.ndarray, largest: float) -> np.ndarray:
-    """With one more component that gives all entries the norm of the largest: inner products become cosines."""
-    rest = np.sqrt(np.maximum(largest * largest - (x * x).sum(1), 0))
-    return np.concatenate([x, rest[:, None]], 1)
+def _directions(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _orders(pivots: np.ndarray, largest: float):
-    """(vec_id, vector) to (vec_id, vector, ranks, near): each pivot's rank, and the nearest pivots in order.
+def _orders(pivots: np.ndarray):
+    """(vec_id, vector, is_long) to (vec_id, vector, near): the files that hold it, and (qnear) those that it reads as a query.
 
-    As a query a vector has no further component, which leaves the order of entries by inner product as is.
+    Files are the nearest pivots in order. The one after all pivots holds the longest vectors, which are in no other.
     """
-    aimed = _augmented(pivots, largest)
+    aimed = _directions(pivots)
 
     def run(batches):
         for rows in batches:
-            x = np.stack(rows.vector.to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, pivots.shape[1]))
-            for name, y in (("", _augmented(x, largest)), ("q", np.concatenate([x, np.zeros((len(x), 1))], 1))):
-                order = np.argsort(-(y @ aimed.T), axis=1, kind="stable")
-                ranks = np.empty_like(order)
-                np.put_along_axis(ranks, order, np.arange(order.shape[1])[None, :].repeat(len(order), 0), 1)
-                rows[f"{name}ranks"] = [r.astype("<u2").tobytes() for r in ranks]
-                rows[f"{name}near"] = list(order[:, :POSTED].astype(np.int32))
+            x = np.stack(rows.vector.to_numpy()).astype(np.float64) if len(rows) else np.ones((0, pivots.shape[1]))
+            order = np.argsort(-(_directions(x) @ aimed.T), axis=1, kind="stable")[:, :POSTED].astype(np.int32) if len(rows) else []
+            last = np.array([len(pivots)], np.int32)
+            rows["near"] = [last if long else o for o, long in zip(order, rows.is_long, strict=True)]
+            rows["qnear"] = [np.append(o, last) for o in order]
             rows["vector"] = [v.astype("<f8").tobytes() for v in x]
-            yield rows[["vec_id", "vector", "is_query", "ranks", "near", "qranks", "qnear"]]
+            yield rows[["vec_id", "vector", "is_query", "near", "qnear"]]
 
     return run
 
 
-def _search(found: int):
-    """One block of a pivot's file and one of queries: each query's best entries."""
+def _search(found: int, n_files: int):
+    """One block of a pivot's file and one of queries: each query's best entries, all of them scored."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         entries, queries = rows[~rows.asks], rows[rows.asks]
@@ -74,15 +76,16 @@ def _search(found: int):
         if len(entries) and len(queries):
             pivot = int(rows["pivot"].iloc[0])
             read = lambda col, kind: np.frombuffer(b"".join(col), kind).reshape(len(col), -1)
-            ranks, vectors = read(entries.ranks, "<u2").astype(np.int16), read(entries.vector, "<f8")
-            ids = entries.vec_id.to_numpy()
-            for q_id, q_ranks, q in zip(queries.vec_id, read(queries.ranks, "<u2").astype(np.int16), read(queries.vector, "<f8"), strict=True):
-                earlier = np.flatnonzero(q_ranks < q_ranks[pivot])
-                mine = np.flatnonzero((ranks[:, earlier] >= POSTED).all(1)) if len(earlier) else np.arange(len(ids))
-                if len(mine) > RERANKED:
-                    footrule = np.abs(ranks[mine] - q_ranks).sum(1, dtype=np.int32)
-                    mine = mine[np.argpartition(footrule, RERANKED)[:RERANKED]]
+            vectors, ids = read(entries.vector, "<f8"), entries.vec_id.to_numpy()
+            near = np.stack(entries.near.to_numpy())
+            for q_id, q_near, q in zip(queries.vec_id, queries.near, read(queries.vector, "<f8"), strict=True):
+                earlier = np.zeros(n_files, bool)
+                earlier[q_near[: np.flatnonzero(q_near == pivot)[0]]] = True
+                mine = np.flatnonzero(~earlier[near].any(1))
                 score = (vectors[mine] * q).sum(1)
+                if len(mine) > found:
+                    high = np.flatnonzero(score >= np.partition(score, -found)[-found])
+                    mine, score = mine[high], score[high]
                 best = np.lexsort((ids[mine], -score))[:found]
                 out["query"].append(np.full(len(best), q_id))
                 out["entry"].append(ids[mine[best]])
@@ -114,26 +117,29 @@ def nearest(vectors: DataFrame, is_query, n: int = 20) -> DataFrame:
     members = cut(rows.select("h", "vec_id").distinct().withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= n + 1))
     classes = rows.groupBy("h").agg(F.min("vec_id").alias("vec_id"), F.max("is_query").alias("is_query"))
     entries = cut(rows.select("h", "vec_id", "vector").join(classes, ["h", "vec_id"]).dropDuplicates(["h"]))
-    count, norm = entries.agg(F.count("*"), F.max(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))).first()
+    count = entries.count()
+    square = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+    long = entries.select(square.alias("s")).orderBy(F.desc("s")).limit(1 + min(LONGEST, count // 16)).agg(F.min("s")).first()[0]
     pivots = _pivots(entries, max(PIVOTS, min(MOST_PIVOTS, math.isqrt(count) // 4)))
-    kinds = "vec_id long, vector binary, is_query boolean, ranks binary, near array<int>, qranks binary, qnear array<int>"
-    index = cut(entries.select("vec_id", "vector", "is_query").mapInPandas(_orders(pivots, math.sqrt(norm) * (1 + 1e-12)), kinds))
+    kinds = "vec_id long, vector binary, is_query boolean, near array<int>, qnear array<int>"
+    index = cut(entries.select("vec_id", "vector", "is_query", (square > F.lit(long)).alias("is_long")).mapInPandas(_orders(pivots), kinds))
+    n_files = len(pivots) + 1
 
-    # Sizes of the files, as many numbers as there are pivots, tell how many blocks each one gets.
+    # Sizes of the files, one for each, tell how many blocks each one gets.
     def blocks(near: str, of: DataFrame) -> F.Column:
         got = {r.pivot: r.n for r in of.select(F.explode(near).alias("pivot")).groupBy("pivot").agg(F.count("*").alias("n")).collect()}
-        return F.get(F.array(*[F.lit(max(1, -(-got.get(p, 0) // BLOCK))) for p in range(len(pivots))]), F.col("pivot"))
+        return F.get(F.array(*[F.lit(max(1, -(-got.get(p, 0) // BLOCK))) for p in range(n_files)]), F.col("pivot"))
 
     asking = index.where("is_query")
     of_entries, of_queries = blocks("near", index), blocks("qnear", asking)
     some = lambda x: F.sequence(F.lit(0), x - 1)
-    posts = index.select("vec_id", "vector", "ranks", F.explode("near").alias("pivot")).withColumn("e", F.pmod(F.xxhash64("vec_id"), of_entries).cast("int"))
+    posts = index.select("vec_id", "vector", "near", F.explode("near").alias("pivot")).withColumn("e", F.pmod(F.xxhash64("vec_id"), of_entries).cast("int"))
     posts = posts.withColumn("q", F.explode(some(of_queries))).withColumn("asks", F.lit(False))
-    asked = asking.select("vec_id", "vector", F.col("qranks").alias("ranks"), F.explode("qnear").alias("pivot")).withColumn("q", F.pmod(F.xxhash64("vec_id"), of_queries).cast("int"))
+    asked = asking.select("vec_id", "vector", F.col("qnear").alias("near"), F.explode("qnear").alias("pivot")).withColumn("q", F.pmod(F.xxhash64("vec_id"), of_queries).cast("int"))
     asked = asked.withColumn("e", F.explode(some(of_entries))).withColumn("asks", F.lit(True))
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = posts.unionByName(asked).repartition(4 * n_parts, "pivot", "e", "q")
-    found = dealt.groupBy("pivot", "e", "q").applyInPandas(_search(n + 1), "query long, entry long, score double")
+    found = dealt.groupBy("pivot", "e", "q").applyInPandas(_search(n + 1, n_files), "query long, entry long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     found = cut(found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= n + 1).drop("r"))
 
