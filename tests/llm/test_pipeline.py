@@ -123,3 +123,11 @@ def test_odd_rows(spark):
     assert {tuple(r)[6:] for r in p.mixture(spark, docs, "").collect()} == {(7,) * 14}
     assert op01_mix.mixed(docs, p.F.lit("d"), [p.F.lit(1)] * 3, 1.0).columns == docs.columns
     assert sorted(str(r.doc_id) for r in p.mixture(spark, docs, "").collect()) in (["1", "1"], ["1", "1", "None"], ["None"])
+
+
+def test_near_dedup_of_repeated_and_missing_ids(spark):
+    """Unlike texts under one doc_id stay; copies go, with or without a doc_id."""
+    a, b, c = ("one two three four five six seven", "red green blue black white grey pink", "north south east west up down left")
+    rows = [(1, a), (1, b), (1, a), (2, b), (None, c), (None, c), (None, a), (3, "other words that stand only here once"), (None, "and these are in no other row")]
+    got = p.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.text for r in got.collect()) == sorted({t for _, t in rows})
