@@ -19,6 +19,8 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, ATTENTION = 8, 8
 WORD_DIM, CHAR_DIM = 4, 6
 GRAM_BITS, N_WORDS = 16, 4096
+#: Bytes of texts that are scored at once, if not one text is longer.
+CHUNK = 1 << 20
 INPUT = WORD_DIM + CHAR_DIM + 2
 
 #: White space and ASCII punctuation end a word here.
@@ -126,7 +128,7 @@ class Model:
     def of_texts(self, data: np.ndarray, offsets: np.ndarray, block: int = 2048) -> np.ndarray:
         """The largest window logit of each text; -inf for texts without words."""
         out = np.full(len(offsets) - 1, -np.inf, np.float64)
-        for a, b in row_chunks(offsets, 4 << 20):
+        for a, b in row_chunks(offsets, CHUNK):
             w = read_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             if not len(w.number):
                 continue

@@ -1,13 +1,15 @@
-"""Toxicity of whole texts, by the network of ``bigru``: fitted on the driver, applied by every task.
+"""Toxicity of whole texts, by the network of ``bigru``: fitted by one task, applied by every task.
 
 Labels come only from rows whose crc32(doc_id as text) mod 5 isn't 0. The network is fitted on a bounded
 sample of them: for each label the rows with the smallest hash of their id, ``MOST_TOXIC`` and
-``MOST_CLEAN`` at most, of texts up to ``MOST_CHARS`` characters. Its weights have a fixed size. Scoring
-reads every window of every text and needs no shuffle.
+``MOST_CLEAN`` at most, of texts up to ``MOST_CHARS`` characters. One task gathers them and fits the
+network, and the driver gets the weights only, which have a fixed size. Scoring reads every window of every
+text and needs no shuffle.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +42,15 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_c
     # The sample has at most most_toxic + most_clean rows of two numbers: broadcasting it is bounded.
     rows = texts(docs).where(F.length("text").between(1, most_chars)).join(F.broadcast(sample), "doc_id")
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    got = {(r.doc_id, r.text): r.toxic for r in rows.toLocalIterator()}
-    order = sorted(got)
-    return train([text.encode() for _, text in order], np.array([got[k] for k in order], np.int64))
+    fitted = rows.repartition(1).mapInArrow(_train, "model binary").first()
+    return pickle.loads(fitted.model) if fitted else train([], np.zeros(0, np.int64))
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows (doc_id, text, toxic), in whatever order, to the fitted network."""
+    rows = sorted((d, t, y) for b in batches for d, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True))
+    model = train([t.encode() for _, t, _ in rows], np.array([y for *_, y in rows], np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
