@@ -2,6 +2,8 @@
 
 import re
 
+import numpy as np
+
 from tilewright.llm import op09_minhash as m
 
 DOCS = "doc_id long, text string, lang string, source string, sig string, rep long"
@@ -51,6 +53,46 @@ def test_chain_and_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 2, 80)
 
 
+def test_dense_buckets(spark, monkeypatch):
+    """Thousands of classes that share a boilerplate, and so buckets, but only some of them near copies: split by a
+    second band, then compared in blocks; also by blocks alone."""
+    monkeypatch.setattr(m, "BLOCK", 128)
+    rng = np.random.default_rng(5)
+    plate = [f"p{k}" for k in range(200)]
+    rows = []
+    for k in range(720):  # 0.76 alike by the boilerplate alone
+        own = [f"o{k - (k % 12 == 1)}_{j}" for j in range(31)]
+        rows.append((k if k % 12 != 1 else 5000 - k, " ".join(plate + own + ([f"z{k}"] if k % 12 == 1 else []))))
+    order = rng.permutation(len(rows))
+    df = spark.createDataFrame([rows[k] for k in order], "doc_id long, text string").repartition(4)
+    sets = {d: frozenset(zip(t.split(), t.split()[1:], strict=False)) for d, t in rows}
+    twins = {5000 - k: k - 1 for k in range(720) if k % 12 == 1}
+    want = {d: twins.get(d, d) for d in sets}
+    for d, twin in twins.items():
+        x, y = sets[d], sets[twin]
+        assert 100 * len(x & y) >= 80 * len(x | y)
+    for a, b in rng.choice(sorted(sets), (300, 2)).tolist():
+        x, y = sets[a], sets[b]
+        assert want[a] == want[b] or 100 * len(x & y) < 80 * len(x | y)
+    for dense in (200, 10_000):
+        monkeypatch.setattr(m, "DENSE", dense)
+        got = m.near_duplicates(df, 2, 80).collect()
+        assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_one_large_group(spark):
+    """Near copies of one text make a star: about a link for each, whatever the size of the group."""
+    rng = np.random.default_rng(6)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for k in range(1500):
+        w = base.copy()
+        w[int(rng.integers(0, 100))] = f"x{k}"
+        rows.append((k, " ".join(w)))
+    got = m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2, 80).collect()
+    assert {r.component_id for r in got} == {0}
+
+
 def test_edges(spark):
     rows = [
         (1, None, None, None, "a", 1), (2, "", "en", "s", "a", 1), (3, " \t\n", "en", "s", "a", 1), (4, "Word", "en", "s", "a", 1), (5, "word", None, "s", "a", 1),
