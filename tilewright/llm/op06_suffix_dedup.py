@@ -257,17 +257,21 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     path = fresh_path(spark, "anchors")
     keyed.mapInArrow(_occurrences(width), "doc_id long, h long, a long, c long, first long, n int").write.parquet(path)
     found = spark.read.parquet(path)
-    contexts = found.groupBy("a", "c").agg(F.count("*").alias("times"))
+    # One occurrence stands for a context: that with the smallest hash. Nothing is grouped by context after the
+    # join below, and both of its sides are read from disk, so Spark can split a context that very many documents hold.
+    found = found.withColumn("o", F.xxhash64("doc_id", "h", "first"))
+    contexts = found.groupBy("a", "c").agg(F.count("*").alias("times"), F.min("o").alias("least"))
     of_anchor = contexts.groupBy("a").agg(F.count("*").alias("kinds"), F.sum("times").alias("total"), F.min("times").alias("rarest")).where("total > 1")
-    contexts = cut(contexts.join(of_anchor, "a").select("a", "c", "times", "kinds", "rarest"))
+    contexts = cut(contexts.join(of_anchor, "a").select("a", "c", "times", "least", "kinds", "rarest"))
     release(spark)
-    seen = found.join(contexts, ["a", "c"])
-    whole = seen.where("times > 1").select("doc_id", "h", F.col("first").alias("start"), (F.col("first") + F.col("n") + (width - 1)).alias("stop"))
-    whole = cut(whole.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
-    asked = seen.where("kinds > 1 and rarest = 1").withColumn("salts", F.ceil(F.col("kinds") / SHARD_CONTEXTS).cast("int"))
-    one = asked.where("times = 1").select("doc_id", "h", "a", "c", "first", "n", "times", "salts")
-    many = asked.where("times > 1").groupBy("a", "c", "times", "salts").agg(F.min(F.struct("doc_id", "h", "first", "n")).alias("m")).select("m.doc_id", "m.h", "a", "c", "m.first", "m.n", "times", "salts")
-    asked = cut(one.unionByName(many).groupBy("doc_id", "h").agg(F.collect_list(F.struct("a", "c", "first", "n", "times", "salts")).alias("asked")))
+    stop = F.col("first") + F.col("n") + (width - 1)
+    fetched = F.struct("a", "c", "first", "n", "times", F.ceil(F.col("kinds") / SHARD_CONTEXTS).cast("int").alias("salts"))
+    of_doc = found.join(contexts, ["a", "c"]).groupBy("doc_id", "h").agg(
+        F.collect_set(F.when(F.col("times") > 1, F.struct(F.col("first").alias("start"), stop.alias("stop")))).alias("spans"),
+        F.collect_list(F.when((F.col("kinds") > 1) & (F.col("rarest") == 1) & (F.col("o") == F.col("least")), fetched)).alias("asked"),
+    )
+    of_doc = cut(of_doc)
+    whole, asked = of_doc.where(F.size("spans") > 0).select("doc_id", "h", "spans"), of_doc.where(F.size("asked") > 0).select("doc_id", "h", "asked")
     remove(spark, path)
     release(spark)
     bodies = keyed.join(asked, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).mapInArrow(_fetch(width), "doc_id long, h long, a long, c long, first long, n int, times long, salts int, body binary")
