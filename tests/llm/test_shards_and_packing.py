@@ -4,7 +4,9 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from tilewright.llm import op02_shards as s
@@ -121,8 +123,33 @@ def test_best_fit_by_runs():
             at[bins[k]] += int(sizes[k])
 
 
-def test_packing_of_unlike_splits(spark):
-    """Splits of long pieces meet those of short ones, however many there are: as few sequences as one best fit over all has."""
+def test_tree_of_nodes():
+    """The moves of a node place each piece that doesn't go on, and number those that do."""
+    rng = np.random.default_rng(7)
+    for capacity, slack in ((40, 2), (100, 0), (300, 300), (64, 64)):
+        rows = [(5, child, length, int(rng.integers(1, 9))) for child in (80, 81, 85) for length in rng.choice(np.arange(1, capacity + 1), min(capacity, 30), replace=False).tolist()]
+        got = p._merged(capacity, slack)(pd.DataFrame(rows, columns=["node", "child", "length", "n"]))
+        sizes = np.array([length for _, _, length, n in sorted(rows, key=lambda r: (-r[2], r[1])) for _ in range(n)])
+        bins, offsets, filled = p.best_fit(sizes, capacity)
+        key = [(length, child, k) for _, child, length, n in sorted(rows, key=lambda r: (-r[2], r[1])) for k in range(n)]
+        went = defaultdict(int)
+        seen = {}
+        for r in got.itertuples():
+            for k in range(r.n):
+                seen[r.length, r.child, r.first + k] = ("open", r.shift + k) if r.is_open else (r.bin + (r.shift + k) // r.each, r.before + (r.shift + k) % r.each * r.length)
+        for (length, child, k), b, offset in zip(key, bins.tolist(), offsets.tolist(), strict=True):
+            if filled[b] < capacity - slack:
+                assert seen[length, child, k] == ("open", went[length])
+                went[length] += 1
+            else:
+                assert seen[length, child, k] == (b, offset)
+        assert len(seen) == len(key)
+
+
+@pytest.mark.parametrize("fan", [2, 16])
+def test_packing_of_unlike_splits(spark, monkeypatch, fan):
+    """Splits of long pieces meet those of short ones, however many there are: nearly as few sequences as one best fit over all has."""
+    monkeypatch.setattr(p, "FAN", fan)
     rng = np.random.default_rng(4)
     n = 32 * 1500
     part = np.arange(n) // 1500
@@ -134,5 +161,5 @@ def test_packing_of_unlike_splits(spark):
     assert (got.offset == got.groupby("sequence_id").length.cumsum() - got.length).all()
     filled = rows.groupby("sequence_id").length.sum()
     want = p.best_fit(rows.length.to_numpy(np.int64), 409)[2]
-    assert filled.max() <= 409 and sorted(filled) == sorted(want)
+    assert filled.max() <= 409 and len(filled) <= 1.01 * len(want)
     assert len(filled) <= 1.1 * rows.length.sum() / 409
