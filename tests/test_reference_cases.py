@@ -91,9 +91,10 @@ def test_grid_points(spark):
     for bad in ((TypeError, {"bounds": (0, 0, 1)}), (TypeError, {"nrows": 1.5}), (ValueError, {"ncols": 0}), (TypeError, {"left_to_right": 1}), (ValueError, {"crs": 1}), (ValueError, {"bounds": (0, 0, 0, 1)})):
         with pytest.raises(bad[0]):
             Grid(**({"bounds": (0, 0, 10, 10), "nrows": 2, "ncols": 2} | bad[1]))
-    for bad in ({"how": "outer"}, {"crs": 4326}):
-        with pytest.raises(ValueError):
-            grid.sjoin_points(pts, **bad)
+    with pytest.raises(ValueError):
+        grid.sjoin_points(pts, how="outer")
+    degrees = spark.createDataFrame([(1.0 / 111319.49079327358, 1e-5)], "x double, y double")
+    assert [(r[ROW], r[COLUMN]) for r in grid.sjoin_points(degrees, crs=4326).collect()] == [(1, 0)]  # reprojected
     b = boxes(spark, [(0.0, 0.0, 1.0, 1.0)])
     with pytest.raises(ValueError):
         grid.sjoin(b, predicate_="equals")

@@ -51,7 +51,10 @@ def test_shapefiles(spark, tmp_path):
     out = f"file://{tmp_path}/out"
     (tmp_path / "settings.json").write_text('{"z": 4}')
     assert cli.main(["--config", str(tmp_path / "settings.json"), "--input", f"file://{tmp_path}/a", "--output", out, "--hex-res", "3", "--sum-cols", "size"], spark) == 0
-    assert spark.read.parquet(f"{out}/tiles").count() >= 3 and spark.read.parquet(f"{out}/hexagons").agg(F.sum("_count")).first()[0] >= 3
+    tiles = spark.read.parquet(f"{out}/tiles")
+    areas = {r.fid: round(r.staging_area, 9) for r in tiles.where("staging_centroid_within_tile").collect()}
+    assert areas == {0: 0.96, 1: 2.0}  # a hole, and a MultiPolygon as one feature
+    assert spark.read.parquet(f"{out}/hexagons").agg(F.sum("_count")).first()[0] >= 2
     assert spark.read.parquet(f"{out}/hex_log").first().ok
 
 
@@ -70,6 +73,62 @@ def test_geopackages(spark, tmp_path):
     assert vector.at_level(some, p.tile_of(F.col("path")), 5).count() == 1
 
 
+PRJ_3413 = 'PROJCS["WGS_1984_NSIDC_Sea_Ice_Polar_Stereographic_North",GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]],PROJECTION["Stereographic_North_Pole"]]'
+
+
+def test_prj():
+    assert vector.srid_of_prj(PRJ_3413) == 3413 and vector.srid_of_prj('GEOGCS["GCS_WGS_1984",DATUM["D"]]') == 4326 and vector.srid_of_prj("junk") is None
+    assert vector.srid_of_prj('PROJCS["x",GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","3857"]]') == 3857
+    assert vector.srid_of_prj('PROJCS["x",GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]],UNIT["m",1]]') is None
+
+
+def test_polar_geopackage(spark, tmp_path):
+    """A file in polar stereographic coordinates: its own CRS is read, and every vertex is moved."""
+    side = 20_000.0
+    ring = np.array([(0, 0), (side, 0), (side, side), (0, side), (0, 0)]) + [500_000, -1_200_000]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/one.gpkg").write_bytes(vector.gpkg_bytes("layer", pd.DataFrame({"geometry": [rings.to_wkb([ring])], "size": [1.0]}), "geometry", 3413))
+    (tmp_path / "land").mkdir()
+    (tmp_path / "land/l.gpkg").write_bytes(vector.gpkg_bytes("layer", pd.DataFrame({"geometry": [rings.to_wkb([ring * 1.0 + [side / 2, 0]])]}), "geometry", 3413))
+    (tmp_path / "foot").mkdir()
+    (tmp_path / "foot/one.gpkg").write_bytes(vector.gpkg_bytes("layer", pd.DataFrame({"geometry": [rings.to_wkb([ring + 10 * side])], "rank": [1]}), "geometry", 3413))
+    (tmp_path / "settings.json").write_text('{"z": 6, "clip_to_footprint": true, "dedup_method": "neighbor", "deduplicate_at": "later", "keep_rules": [["rank", "larger"]], "simplify_tolerance": 1.0}')
+    uri, out = (f"file://{tmp_path}/{x}" for x in ("in", "out"))
+    args = ["--config", str(tmp_path / "settings.json"), "--input", uri, "--output", out, "--format", "gpkg", "--hex-res", "6", "--sum-cols", "size", "--gpkg"]
+    assert cli.main([*args, "--footprints", f"file://{tmp_path}/foot", "--land-polygons", f"file://{tmp_path}/land"], spark) == 0
+    rows = spark.read.parquet(f"{out}/tiles").collect()
+    assert len(rows) >= 1 and all(r.staging_duplicated for r in rows)  # the footprint is elsewhere
+    r = rows[0]
+    corners = np.array([(p.x, p.y) for p in r.polygons[0][0]])
+    lon = np.degrees(np.arctan2(ring[:, 0], -ring[:, 1])) - 45
+    assert np.allclose(corners[:, 0], lon) and r.x0 < r.x1 and np.isclose(r.x0, lon.min()) and 77 < r.y0 < r.y1 < 80
+    cells_ = spark.read.parquet(f"{out}/hexagons")
+    covered, land = cells_.agg(F.sum("area_km2"), F.sum("land_area_km2")).first()
+    assert 350 < covered < 450 and 0 < land and len(cells_.first().polygons[0][0]) == 7
+    assert vector.read_gpkg(spark, f"{out}/gpkg").where("srid = 4326").count() == len(rows) and vector.read_gpkg(spark, f"{out}/hex_gpkg").where("srid = 6933").count() == cells_.count()
+
+
+def test_torn_batch(spark, tmp_path):
+    """A batch that crashed after its rows and before its summary is written again without adding them twice."""
+    path, config = f"file://{tmp_path}", staging.StagingConfig(z=4)
+    box = "fid int, x0 double, y0 double, x1 double, y1 double"
+    stage = lambda *rows: staging.stage(spark.createDataFrame(rows, box), config, F.lit("f"), identifier=F.col("fid").cast("string"))
+    staging.save_tiles(stage((1, 1.0, 1.0, 2.0, 2.0)), path, config, batch_id="a")
+    two = stage((2, 1.5, 1.5, 2.5, 2.5), (3, 50.0, 50.0, 51.0, 51.0))
+    staging.save_tiles(two, path, config, batch_id="b")
+    before = sorted((r.fid, r.tile_x, r.staging_batch) for r in spark.read.parquet(f"{path}/tiles").collect())
+    kept = [tuple(r) for r in spark.read.parquet(f"{path}/summary").where("batch_id = 'a'").collect()]
+    spark.createDataFrame(kept, spark.read.parquet(f"{path}/summary").schema).write.parquet(f"{path}/s2")
+    import shutil
+
+    shutil.rmtree(tmp_path / "summary")
+    shutil.move(tmp_path / "s2", tmp_path / "summary")
+    for _ in range(2):  # the second time the summary tells that it is done
+        staging.save_tiles(two, path, config, batch_id="b")
+        assert sorted((r.fid, r.tile_x, r.staging_batch) for r in spark.read.parquet(f"{path}/tiles").collect()) == before
+    assert spark.read.parquet(f"{path}/summary").groupBy("batch_id").count().count() == 2
+
+
 def test_streaming(spark, tmp_path):
     src, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
     box = "fid int, x0 double, y0 double, x1 double, y1 double"

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..operators.grid import TILE_MATRIX_SETS
+from ..operators.grid import TILE_MATRIX_SETS, children, parent
 
 PARTS = ("style", "tms", "z", "x", "y")
 
@@ -33,7 +33,7 @@ def validate_tms_id(tms_id) -> tuple[bool, str, type | None]:
     if not isinstance(tms_id, str):
         return False, "tms_id must be a string", TypeError
     if tms_id not in TILE_MATRIX_SETS:
-        return False, f"{tms_id} is not a valid tms_id; known: {sorted(TILE_MATRIX_SETS)}", ValueError
+        return False, f"{tms_id} isn't a known tile matrix set; known: {sorted(TILE_MATRIX_SETS)}", ValueError
     return True, "", None
 
 
@@ -76,7 +76,7 @@ class TilePaths:
     def path(self, x: Column, y: Column, z: Column, base_dir: Column | str = "", style: Column | str = "", ext: Column | str = "", tms: Column | str | None = None) -> Column:
         """base_dir/parts in order + ext; an empty style or base_dir leaves no gap."""
         lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-        of = {"x": x, "y": y, "z": z, "style": F.nullif(lit(style), F.lit("")), "tms": lit(tms or self.tms_id)}
+        of = {"x": x, "y": y, "z": z, "style": F.nullif(lit(style), F.lit("")), "tms": lit(self.tms_id if tms is None else tms)}
         base = F.nullif(F.regexp_replace(lit(base_dir), "/+$", ""), F.lit(""))
         parts = [of[p].cast("string") for p in self.path_structure]
         whole = F.concat(F.concat_ws("/", base, *parts), lit(ext))
@@ -97,6 +97,19 @@ class TilePaths:
         out["tms"] = F.when(n == 4, F.element_at(items, 1)).when(n > 4, head["tms"]) if "tms" in head else F.lit(None).cast("string")
         return out | {p: tile[p] for p in ("z", "x", "y")} | {"ext": ext}
 
+    def parent_path(self, path: Column) -> Column:
+        """The path of the parent tile in the same place; null at level 0."""
+        p = self.parse(path)
+        return self._again(p, *parent(p["x"], p["y"], p["z"]))
+
+    def child_paths(self, path: Column) -> Column:
+        """The paths of the four tiles one level down, in the order of ``children``."""
+        p = self.parse(path)
+        return F.transform(children(p["x"], p["y"], p["z"]), lambda c: self._again(p, c["x"], c["y"], c["z"]))
+
+    def _again(self, p: dict[str, Column], x: Column, y: Column, z: Column) -> Column:
+        return self.path(x, y, z, p["base_dir"], p["style"], p["ext"], F.coalesce(p["tms"], F.lit(self.tms_id)))
+
     def tile_of(self, text: Column) -> Column:
         """The tile of a tile's text or of a path."""
         p = self.parse(text)

@@ -28,7 +28,7 @@ def _sums(ring: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), zero, step)
 
 
-def _total(rings: Column) -> Column:
+def total(rings: Column) -> Column:
     """The sums over rings: the shell counts as positive and holes as negative, however they are turned."""
     each = F.transform(rings, lambda r, i: F.struct(_sums(r).alias("s"), F.when(i == 0, 1.0).otherwise(-1.0).alias("sign")))
 
@@ -40,12 +40,12 @@ def _total(rings: Column) -> Column:
 
 
 def area(rings: Column) -> Column:
-    return _total(rings)["a"] / 2
+    return total(rings)["a"] / 2
 
 
 def centroid(rings: Column) -> tuple[Column, Column]:
-    t = _total(rings)
-    return t["x"] / (3 * t["a"]), t["y"] / (3 * t["a"])
+    t = total(rings)
+    return F.try_divide(t["x"], 3 * t["a"]), F.try_divide(t["y"], 3 * t["a"])
 
 
 def bounds(rings: Column) -> dict[str, Column]:
@@ -62,8 +62,17 @@ def to_wkb(rings: list[np.ndarray] | None) -> bytes | None:
     return struct.pack("<BII", 1, 3, len(rings)) + body
 
 
+def as_wkb(polygons: list[list[np.ndarray]]) -> tuple[str, bytes]:
+    """The type's name and the well-known binary of one polygon, or of several as a MultiPolygon."""
+    one = [to_wkb(p) for p in polygons]
+    return ("Polygon", one[0]) if len(one) == 1 else ("MultiPolygon", struct.pack("<BII", 1, 6, len(one)) + b"".join(one))
+
+
 def from_wkb(raw: bytes | None) -> list[list[np.ndarray]] | None:
-    """The polygons of a Polygon or MultiPolygon, each a list of rings of (n, 2) points; other types give none."""
+    """The polygons of a Polygon or MultiPolygon, each a list of rings of (n, 2) points; other types give none.
+
+    Further dimensions (Z, M) are left out, in ISO's numbering of types and in the one by flags.
+    """
     if raw is None:
         return None
     at = 0
@@ -77,7 +86,13 @@ def from_wkb(raw: bytes | None) -> list[list[np.ndarray]] | None:
     def geometry() -> list[list[np.ndarray]]:
         nonlocal at
         order = "<" if read("B") else ">"
-        kind = read(order + "I") & 0xFF
+        kind = read(order + "I")
+        flags, kind = kind >> 28, kind & 0xFFFFFF
+        if flags & 2:  # an SRID comes first
+            read(order + "I")
+        extra = kind // 1000 % 10
+        wide = 2 + (flags >> 3 & 1) + (flags >> 2 & 1) + (0, 1, 1, 2)[extra & 3]
+        kind %= 1000
         if kind == 6:
             return [p for _ in range(read(order + "I")) for p in geometry()]
         if kind != 3:
@@ -85,8 +100,8 @@ def from_wkb(raw: bytes | None) -> list[list[np.ndarray]] | None:
         rings = []
         for _ in range(read(order + "I")):
             n = read(order + "I")
-            rings.append(np.frombuffer(raw, order + "f8", 2 * n, at).reshape(n, 2).astype(float))
-            at += 16 * n
+            rings.append(np.frombuffer(raw, order + "f8", wide * n, at).reshape(n, wide)[:, :2].astype(float))
+            at += 8 * wide * n
         return [rings]
 
     return geometry()

@@ -1,8 +1,12 @@
 """Duplicate features from overlapping source files: labels by boundary, by neighbours and by footprints.
 
-Features are boxes (x0, y0, x1, y1) with attributes; labels are one boolean column. Spatial joins go over
-bins: each box is posted in the bins it meets, bins are joined by equality, and a pair counts only in the
-bin that holds the low corner of what the two have in common, so that nothing is found twice.
+Features are boxes (x0, y0, x1, y1) with attributes or, with a column ``polygons``, polygons with these bounds;
+labels are one boolean column. Spatial joins go over bins: each box is posted in the bins it meets, bins are
+joined by equality, and a pair counts only in the bin that holds the low corner of what the two have in
+common, so that nothing is found twice. Boxes far larger than the mean go into coarser bins, in which the
+smaller ones are posted, too; a pair meets in the bins of the larger one. So no box is posted in more than
+four bins of a size. Nothing is grouped by bin behind the join, so Spark can split a dense one. What boxes
+leave is tested on the polygons.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import crs as crs_
+from ..functions import polygons as polygons_
 from ..functions.box import CLIP_PREDICATES, Box, intersection, intersection_area, meets, predicate, shares_area
 from ..runtime import cut
 
@@ -38,36 +43,74 @@ def normal(label: Column) -> Column:
     return F.coalesce(label.cast("boolean"), F.lit(False))
 
 
+#: How much coarser bins of the next size are.
+COARSER = 8.0
+
+
 def bin_size(boxes: DataFrame) -> float:
     """Twice the mean extent: one small aggregation."""
     w, h = boxes.agg(F.avg(F.col("x1") - F.col("x0")), F.avg(F.col("y1") - F.col("y0"))).first()
     return 2 * max(w or 0.0, h or 0.0) or 1.0
 
 
-def binned(boxes: DataFrame, size: float) -> DataFrame:
-    """Boxes once for each bin (bx, by) that they meet."""
-    at = lambda c: F.floor(F.col(c) / size)
-    return boxes.withColumn("bx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("by", F.explode(F.sequence(at("y0"), at("y1"))))
+def _level(size: float) -> Column:
+    """0 for boxes up to a bin's size, 1 for those up to that of the next coarser bins, and so on."""
+    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    return F.greatest(F.ceil(F.log(F.greatest(extent / size, F.lit(1e-300))) / F.log(F.lit(COARSER)) - 1e-9), F.lit(0)).cast("int")
+
+
+def binned(boxes: DataFrame, size: float, levels: Sequence[int] = (0,)) -> DataFrame:
+    """Boxes once for each bin (lv, bx, by) that they meet, of their own size ``own_lv`` and of all coarser ones in ``levels``."""
+    out = boxes.withColumn("own_lv", _level(size) if len(levels) > 1 else F.lit(levels[0]))
+    out = out.withColumn("lv", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda v: v >= F.col("own_lv"))))
+    at = lambda c: F.floor(F.col(c) / _width(size, F.col("lv")))
+    return out.withColumn("bx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("by", F.explode(F.sequence(at("y0"), at("y1"))))
+
+
+def _width(size: float, level: Column) -> Column:
+    return F.lit(size) * F.pow(F.lit(COARSER), level)
 
 
 def box_join(left: DataFrame, right: DataFrame, size: float, test: Callable[[Box, Box], Column], on: Sequence[str] = (), extra: Column | None = None) -> DataFrame:
     """Inner join of ``left`` (columns a.*) and ``right`` (b.*) on meeting boxes that pass ``test``."""
     a, b = Box("a."), Box("b.")
     c = intersection(a, b)
-    once = (F.col("a.bx") == F.floor(c["x0"] / size)) & (F.col("a.by") == F.floor(c["y0"] / size))
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("bx", "by", *on)]
-    every = [*same, meets(a, b), once, test(a, b), *([extra] if extra is not None else [])]
-    return binned(left, size).alias("a").join(binned(right, size).alias("b"), reduce(lambda x, y: x & y, every))
+    found = left.select(_level(size).alias("lv")) if left is right else left.select(_level(size).alias("lv")).unionByName(right.select(_level(size).alias("lv")))
+    levels = sorted(r.lv for r in found.where("lv is not null").distinct().collect()) or [0]  # a few numbers
+    width = _width(size, F.col("a.lv"))
+    once = (F.col("a.bx") == F.floor(c["x0"] / width)) & (F.col("a.by") == F.floor(c["y0"] / width))
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("bx", "by", "lv", *on)]
+    own = [F.col("a.lv") == F.greatest("a.own_lv", "b.own_lv")] if len(levels) > 1 else []
+    every = [*same, *own, meets(a, b), once, test(a, b), *([extra] if extra is not None else [])]
+    return binned(left, size, levels).alias("a").join(binned(right, size, levels).alias("b"), reduce(lambda x, y: x & y, every))
+
+
+def geometry(df: DataFrame) -> list[str]:
+    """The columns of a frame's shapes."""
+    return ["x0", "y0", "x1", "y1", *([polygons_.COLUMN] if polygons_.is_polygons(df) else [])]
+
+
+def _shape(df: DataFrame, prefix: str) -> Column:
+    return F.col(f"{prefix}{polygons_.COLUMN}") if polygons_.is_polygons(df) else polygons_.of_box(Box(prefix))
+
+
+def shape_join(left: DataFrame, right: DataFrame, method: str, on: Sequence[str] = (), size: float | None = None) -> DataFrame:
+    """Pairs ``left METHOD right`` as a.* and b.*: by boxes, and by polygons where either side has them."""
+    size = bin_size(left) if size is None else size
+    if not polygons_.is_polygons(left) and not polygons_.is_polygons(right):
+        return box_join(left, right, size, lambda a, b: predicate(method, a, b), on)
+    pairs = box_join(left, right, size, meets, on)
+    return pairs.where(polygons_.related_by(method, polygons_.relation(_shape(left, "a."), _shape(right, "b."))))
 
 
 def clip_to_boundary(features: DataFrame, boundary: DataFrame, method: str = "intersects", label: str = DUPLICATED, key: str = "fid", dedupe_matches: bool = True) -> DataFrame:
-    """Labels features true that no boundary box meets by ``feature METHOD boundary``.
+    """Labels features true that no boundary shape meets by ``feature METHOD boundary``.
 
-    ``key``: unique. With ``dedupe_matches`` false, a feature that matches k boundary boxes is returned k times.
+    ``key``: unique. With ``dedupe_matches`` false, a feature that matches k boundary shapes is returned k times.
     """
     if method not in CLIP_PREDICATES:
         raise ValueError(f"method must be one of {CLIP_PREDICATES}")
-    pairs = box_join(features, boundary.select("x0", "y0", "x1", "y1"), bin_size(features), lambda a, b: predicate(method, a, b))
+    pairs = shape_join(features.select(key, *geometry(features)), boundary.select(*geometry(boundary)), method)
     hits = pairs.select(F.col(f"a.{key}").alias(key)).withColumn("hit", F.lit(True))
     hits = hits.distinct() if dedupe_matches else hits
     return features.join(hits, key, "left").select(*[c for c in features.columns if c != label], F.col("hit").isNull().alias(label))
@@ -78,13 +121,13 @@ def clip_to_footprint(features: DataFrame, boundary: DataFrame | None, clip: boo
     return clip_to_boundary(features, boundary, "intersects", label, **more) if clip and dedup and boundary is not None else features
 
 
-def _loser(rules: Rules) -> Column:
-    """Of a pair the key that a rule decides against; ties go against the second; null if a rule has a null value."""
-    out = F.col("kb")
+def _loses(rules: Rules) -> Column:
+    """Of a pair whether the rules decide against b; ties do. Null if a rule has a null value."""
+    out = F.lit(True)
     for name, up in reversed(list(zip(*keep_rules_to_sort_order(rules), strict=True))):
         a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
         better, worse = (a < b, a > b) if up else (a > b, a < b)
-        out = F.when(better, F.col("kb")).when(worse, F.col("ka")).otherwise(out)
+        out = F.when(better, True).when(worse, False).otherwise(out)
     known = reduce(lambda x, y: x & y, [F.col(f"{s}.{n}").isNotNull() for n, _ in rules for s in "ab"])
     return F.when(known, out)
 
@@ -108,54 +151,80 @@ def deduplicate_neighbors(
         raise ValueError("keep_rules are needed")
     if crs is None:
         raise ValueError("the features' CRS is needed")
-    box = Box()
+    box, exact = Box(), polygons_.is_polygons(features)
     names = [n for n, _ in keep_rules if n != AREA]
-    working = features.where(F.col(split_by).isNotNull()).select(*dict.fromkeys([*partition_by, split_by, key, "x0", "y0", "x1", "y1", *names])).withColumn(AREA, box.area)
+    working = features.where(F.col(split_by).isNotNull()).select(*dict.fromkeys([*partition_by, split_by, key, *geometry(features), *names]))
+    if exact:
+        working = working.withColumn("m_", polygons_.measures(F.col(polygons_.COLUMN))).withColumns({AREA: F.col("m_.area"), "cx_": F.col("m_.x"), "cy_": F.col("m_.y")}).drop("m_")
+    else:
+        working = working.withColumn(AREA, box.area)
     pairs = box_join(working, working, bin_size(working), shares_area, partition_by, F.col(f"a.{split_by}") < F.col(f"b.{split_by}"))
-    if overlap_tolerance is not None:
-        common = intersection_area(Box("a."), Box("b."))
-        ia, ib = common / F.col(f"a.{AREA}") > overlap_tolerance, common / F.col(f"b.{AREA}") > overlap_tolerance
-        pairs = pairs.where(ia & ib if overlap_both else ia | ib)
+    # What needs no polygons goes first.
     if centroid_tolerance is not None:
         target = crs if distance_crs is None else distance_crs
-        (ax, ay), (bx, by) = (crs_.reproject(*Box(p).centroid, crs, target) for p in ("a.", "b."))
+        centre = lambda p: (F.col(f"{p}cx_"), F.col(f"{p}cy_")) if exact else Box(p).centroid
+        (ax, ay), (bx, by) = (crs_.reproject(*centre(p), crs, target) for p in ("a.", "b."))
         pairs = pairs.where(F.hypot(ax - bx, ay - by) <= centroid_tolerance)
+    b_loses = _loses(keep_rules)
+    pairs = pairs.where(b_loses.isNotNull())
+    common = intersection_area(Box("a."), Box("b."))
+
+    def enough(common: Column) -> Column | None:
+        if overlap_tolerance is None:
+            return None
+        ia, ib = common / F.col(f"a.{AREA}") > overlap_tolerance, common / F.col(f"b.{AREA}") > overlap_tolerance
+        return ia & ib if overlap_both else ia | ib
+
+    if overlap_tolerance is not None:
+        pairs = pairs.where(enough(common))  # polygons share no more than their bounds do
+    if exact:
+        shared = polygons_.shared_area(F.col(f"a.{polygons_.COLUMN}"), F.col(f"b.{polygons_.COLUMN}"))
+        pairs = pairs.withColumn("shared_", shared)
+        pairs = pairs.where(F.col("shared_") > polygons_.TOLERANCE * F.least(F.col(f"a.{AREA}"), F.col(f"b.{AREA}")))
+        if overlap_tolerance is not None:
+            pairs = pairs.where(enough(F.col("shared_")))
     # Within a partition a key is a feature, and across partitions it is several.
-    of = lambda side: F.struct(*[F.col(f"a.{p}").alias(p) for p in partition_by], F.col(f"{side}.{key}").alias(key))
-    pairs = pairs.select("*", of("a").alias("ka"), of("b").alias("kb")).withColumn("loser", _loser(keep_rules)).where(F.col("loser").isNotNull())
-    pairs = pairs.select("ka", "kb", "loser", F.struct(F.col(f"a.{split_by}").alias("g1"), F.col(f"b.{split_by}").alias("g2")).alias("turn"))
-    removed = _in_turn(pairs).select(*[F.col(f"loser.{c}").alias(c) for c in (*partition_by, key)]).distinct().withColumn("gone", F.lit(True))
-    out = features.join(removed, [*partition_by, key], "left")
+    of = lambda side: F.struct(*[F.col(f"a.{p}").alias(p) for p in partition_by], F.col(f"{side}.{key}").alias(key)) if partition_by else F.col(f"{side}.{key}")
+    loser = F.when(b_loses, of("b")).otherwise(of("a")).alias("loser")
+    groups = working.select(split_by).distinct().limit(3).count()
+    if groups < 3:  # one turn: all pairs act
+        removed = pairs.select(loser)
+    else:
+        turn = F.struct(F.col(f"a.{split_by}").alias("g1"), F.col(f"b.{split_by}").alias("g2")).alias("turn")
+        removed = _in_turn(pairs.select(loser, F.when(b_loses, of("a")).otherwise(of("b")).alias("winner"), turn))
+    keys = [*partition_by, key]
+    removed = (removed.select("loser.*") if partition_by else removed.select(F.col("loser").alias(key))).distinct().withColumn("gone", F.lit(True))
+    out = features.join(removed, keys, "left")
     return out.select(*[c for c in features.columns if c != label], F.coalesce("gone", F.lit(False)).alias(label))
 
 
 def _in_turn(pairs: DataFrame) -> DataFrame:
-    """The pairs that act when they act in order of ``turn``, each only if neither side has been removed before.
+    """The losers (loser) of pairs (loser, winner, turn) that act in order of ``turn``, each only if neither side has been removed before.
 
-    With one turn all act. Else a pair is decided as soon as no undecided pair of an earlier turn could
-    remove one of its sides; all that can be decided are decided in a round, so that the number of rounds
-    follows the longest chain of such pairs, not the number of turns.
+    A loser goes in the first turn in which it has a winner that is still there. A winner that no pair of an
+    earlier turn could remove is there for sure, which bounds the loser's turn; only pairs of earlier turns
+    whose winners aren't certain stay. In each round all that is certain by now is settled, so that the number
+    of rounds follows the longest chain of such pairs, and only what is left of them is written again.
     """
-    open_ = cut(pairs)
-    first = open_.agg(F.min("turn").alias("a"), F.max("turn").alias("b")).first()
-    if first.a == first.b:
-        return open_
-    acting = None
+    pairs = cut(pairs)
+    could = pairs.groupBy("loser").agg(F.min("turn").alias("t")).select(F.col("loser").alias("winner"), "t")
+    marked = cut(pairs.join(could, "winner", "left").select("loser", "winner", "turn", F.coalesce(F.col("t") < F.col("turn"), F.lit(False)).alias("waits")))
+    goes = marked.where("not waits").groupBy("loser").agg(F.min("turn").alias("high"))
+    goes = cut(goes)
+    rest = marked.where("waits").drop("waits")
     while True:
-        could = open_.groupBy("loser").agg(F.min("turn").alias("t"))
-        state = open_
-        for side in ("ka", "kb"):
-            state = state.join(could.select(F.col("loser").alias(side), F.col("t").alias(f"{side}_t")), side, "left")
-        waits = F.coalesce(F.col("ka_t") < F.col("turn"), F.lit(False)) | F.coalesce(F.col("kb_t") < F.col("turn"), F.lit(False))
-        state = cut(state.select("ka", "kb", "loser", "turn", waits.alias("waits")))
-        act, rest = state.where(~F.col("waits")).drop("waits"), state.where("waits").drop("waits")
-        acting = act if acting is None else acting.unionByName(act)
-        gone = act.groupBy("loser").agg(F.min("turn").alias("t"))
-        for side in ("ka", "kb"):  # later pairs of what is gone never act
-            rest = rest.join(gone.select(F.col("loser").alias(side), F.col("t").alias("gone_t")), side, "left").where("gone_t is null or gone_t >= turn").drop("gone_t")
-        open_ = cut(rest)
-        if open_.isEmpty():
-            return acting
+        # Pairs that come after their loser's turn tell nothing.
+        rest = cut(rest.join(goes, "loser", "left").where("high is null or turn < high").drop("high"))
+        if rest.isEmpty():
+            return goes.select("loser")
+        open_ = rest.groupBy("loser").agg(F.min("turn").alias("m"))
+        state = goes.join(open_, "loser", "full").select(F.col("loser").alias("winner"), F.least("m", "high").alias("low"), F.col("high"))
+        marked = rest.join(state, "winner", "left").where("high is null or low < high or high >= turn")  # else the winner has gone before
+        waits = F.coalesce(F.col("low") < F.col("turn"), F.lit(False))
+        marked = cut(marked.select("loser", "winner", "turn", waits.alias("waits")))
+        acts = marked.where("not waits").groupBy("loser").agg(F.min("turn").alias("high"))
+        goes = cut(goes.unionByName(acts).groupBy("loser").agg(F.min("high").alias("high")))
+        rest = marked.where("waits").drop("waits")
 
 
 def footprint_rank(footprints: DataFrame, rules: Rules, name: str = "filename") -> DataFrame:
@@ -168,16 +237,23 @@ def deduplicate_by_footprint(features: DataFrame, footprints: DataFrame, split_b
     """Labels features of the less preferred file that meet the overlap of two files' footprints (closed).
 
     Only files that occur in the features count; files without a footprint remove nothing. Labels that are
-    true already stay. Footprints: boxes, several a file at will, with the columns of the rules.
+    true already stay. Footprints: boxes or polygons, several a file at will, with the columns of the rules;
+    every two of different files count, as all do of one.
     """
     if label not in features.columns:
         raise KeyError(label)
     ranks = footprint_rank(footprints, keep_rules, split_by)
-    used = footprints.join(features.select(split_by).distinct(), split_by, "left_semi").join(ranks, split_by).select(split_by, "rank", "x0", "y0", "x1", "y1")
+    shape = geometry(footprints)
+    used = footprints.join(features.select(split_by).distinct(), split_by, "left_semi").join(ranks, split_by).select(split_by, "rank", *shape)
     both = box_join(used, used, bin_size(used), meets, extra=F.col("a.rank") < F.col("b.rank"))
-    zones = cut(both.select(F.col(f"b.{split_by}").alias(split_by), *[v.alias(k) for k, v in intersection(Box("a."), Box("b.")).items()]).distinct())
-    hit = features.alias("a").join(zones.alias("b"), (F.col(f"a.{split_by}") == F.col(f"b.{split_by}")) & meets(Box("a."), Box("b.")), "left_semi")
-    hit = hit.select(key).distinct().withColumn("hit", F.lit(True))
+    if polygons_.is_polygons(footprints):
+        both = both.select(F.col(f"b.{split_by}").alias(split_by), F.explode(polygons_.common_parts(F.col(f"a.{polygons_.COLUMN}"), F.col(f"b.{polygons_.COLUMN}"))).alias("part"))
+        both = both.select(split_by, F.array("part").alias(polygons_.COLUMN))
+        zones = cut(both.select(split_by, polygons_.COLUMN, *[v.alias(k) for k, v in polygons_.bounds(F.col(polygons_.COLUMN)).items()]))
+    else:
+        zones = cut(both.select(F.col(f"b.{split_by}").alias(split_by), *[v.alias(k) for k, v in intersection(Box("a."), Box("b.")).items()]).distinct())
+    hit = shape_join(features.select(split_by, key, *geometry(features)), zones, "intersects", [split_by], max(bin_size(features), bin_size(zones) / 4))
+    hit = hit.select(F.col(f"a.{key}").alias(key)).distinct().withColumn("hit", F.lit(True))
     return features.join(hit, key, "left").select(*[c for c in features.columns if c != label], (normal(F.col(label)) | F.col("hit").isNotNull()).alias(label))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import crs as crs_
+from ..functions import polygons as polygons_
 from ..functions.box import PREDICATES, Box, intersection, predicate, shares_area
 
 #: Tile matrix sets: CRS, bounds, and columns and rows at level 0 (OGC 17-083r2).
@@ -135,19 +136,18 @@ class Grid:
         row, col = self._named(kx, ky)
         return self._strips(spark, self.ncells).select(row.alias(ROW), col.alias(COLUMN), *[v.alias(k) for k, v in self._box(kx, ky).items()])
 
-    def _check(self, how: str, name: str, features_crs: int | str | None) -> None:
+    def _check(self, how: str, name: str) -> None:
         if how not in HOWS:
             raise ValueError(f"how must be one of {HOWS}")
         if name not in PREDICATES:
             raise ValueError(f"predicate must be one of {PREDICATES}")
-        if features_crs is not None and crs_.code(features_crs) != crs_.code(self.crs):
-            raise ValueError("features and grid have different CRSs; reproject the features first")
 
     def sjoin_points(self, points: DataFrame, how: str = "left", x: str = "x", y: str = "y", crs: int | str | None = None) -> DataFrame:
         """Points with their cell. ``left`` and ``inner`` both keep points without a cell; ``right`` gives each
         cell, as a box, with the attributes of its points, and cells without points once."""
-        self._check(how, "intersects", crs)
-        row, col = self.indices_from_xy(F.col(x), F.col(y))
+        self._check(how, "intersects")
+        px, py = (F.col(x), F.col(y)) if crs is None else crs_.reproject(F.col(x), F.col(y), crs, self.crs)
+        row, col = self.indices_from_xy(px, py)
         out = points.withColumns({ROW: row, COLUMN: col})
         if how != "right":
             return out
@@ -166,55 +166,110 @@ class Grid:
             spans[k] = F.when(first <= last, F.sequence(first, last))
         return boxes.withColumn("kx", F.explode(spans["kx"])).withColumn("ky", F.explode(spans["ky"]))
 
-    def sjoin(self, boxes: DataFrame, how: str = "left", predicate_: str = "intersects", crs: int | str | None = None) -> DataFrame:
-        """Boxes (x0, y0, x1, y1 and attributes) joined with cells by ``box PREDICATE cell``.
-
-        ``left`` keeps boxes without a cell, with null indices; ``right`` gives cells as boxes, also those
-        without a partner, with the attributes of the boxes.
+    def _with_cells(self, features: DataFrame) -> DataFrame:
+        """``candidates`` with the cell's box, cell_x0 and so on."""
+        return self.candidates(features).withColumns({f"cell_{k}": v for k, v in self._box(F.col("kx"), F.col("ky")).items()})
+
+    def meeting(self, features: DataFrame) -> DataFrame:
+        """Features once for each cell that they meet (closed), with ``kx`` and ``ky``: boxes by their sides, polygons by their edges."""
+        if not polygons_.is_polygons(features):
+            return self.candidates(features)
+        own, cell = Box(), Box("cell_")
+        within = (own.x0 >= cell.x0) & (own.x1 <= cell.x1) & (own.y0 >= cell.y0) & (own.y1 <= cell.y1)
+        return self._with_cells(features).where(within | polygons_.meets_box(F.col(polygons_.COLUMN), cell)).select(*features.columns, "kx", "ky")
+
+    def _labelled(self, out: DataFrame, as_tile: int | None, as_index: bool) -> DataFrame:
+        """Rows with their cell's tile of level ``as_tile`` instead of its indices, or with the indices as the first columns."""
+        if as_tile is not None:
+            from ..functions.paths import tile_text  # which needs this module
+
+            z = F.lit(as_tile)
+            text = F.when(F.col(ROW).isNotNull(), tile_text(F.col(COLUMN), F.col(ROW), z))
+            return out.withColumns({"tile": text}).drop(ROW, COLUMN)
+        return out.select(ROW, COLUMN, *[c for c in out.columns if c not in (ROW, COLUMN)]) if as_index else out
+
+    def sjoin(self, features: DataFrame, how: str = "left", predicate_: str = "intersects", crs: int | str | None = None, as_index: bool = False, as_tile: int | None = None) -> DataFrame:
+        """Features joined with cells by ``feature PREDICATE cell``.
+
+        Features are boxes (x0, y0, x1, y1 and attributes) or, with a column ``polygons``, polygons with these bounds.
+        ``left`` keeps features without a cell, with null indices; ``right`` gives cells as boxes, also those
+        without a partner, with the attributes of the features. ``as_index``: the indices come first, as Spark has
+        no index. ``as_tile``: the level whose tiles the cells are; a column ``tile`` replaces the indices.
+        A ``crs`` other than the grid's moves the features' coordinates for the test.
         """
-        self._check(how, predicate_, crs)
+        self._check(how, predicate_)
+        features = reprojected(features, crs, self.crs)
         row, col = self._named(F.col("kx"), F.col("ky"))
-        pairs = self.candidates(boxes).select("*", *[v.alias(f"cell_{k}") for k, v in self._box(F.col("kx"), F.col("ky")).items()])
-        pairs = pairs.where(predicate(predicate_, Box(), Box("cell_"))).withColumns({ROW: row, COLUMN: col})
+        shapes, attributes = ("x0", "y0", "x1", "y1", polygons_.COLUMN), [c for c in features.columns if c not in ("x0", "y0", "x1", "y1", polygons_.COLUMN)]
+        exact = polygons_.is_polygons(features)
+        test = polygons_.predicate(predicate_, F.col(polygons_.COLUMN), Box(), Box("cell_")) if exact else predicate(predicate_, Box(), Box("cell_"))
+        pairs = self._with_cells(features).where(test).withColumns({ROW: row, COLUMN: col})
         if how == "right":
-            return self.cells(boxes.sparkSession).join(pairs.select(*[c for c in boxes.columns if c not in ("x0", "y0", "x1", "y1")], ROW, COLUMN), [ROW, COLUMN], "left")
-        pairs = pairs.select(*boxes.columns, ROW, COLUMN)
+            return self._labelled(self.cells(features.sparkSession).join(pairs.select(*attributes, ROW, COLUMN), [ROW, COLUMN], "left"), as_tile, as_index)
+        pairs = pairs.select(*attributes, *[c for c in shapes if c in features.columns], ROW, COLUMN).select(*features.columns, ROW, COLUMN)
         if how == "inner":
-            return pairs
+            return self._labelled(pairs, as_tile, as_index)
         # Those without a cell are found per row, from the same expressions, rather than by a second join.
-        key = F.struct(*boxes.columns)
-        if predicate_ == "intersects":
-            alone = boxes.where(~((F.col("x1") >= self.minx) & (F.col("x0") <= self.maxx) & (F.col("y1") >= self.miny) & (F.col("y0") <= self.maxy)))
+        key = F.struct(*features.columns)
+        if predicate_ == "intersects" and not exact:
+            alone = features.where(~((F.col("x1") >= self.minx) & (F.col("x0") <= self.maxx) & (F.col("y1") >= self.miny) & (F.col("y0") <= self.maxy)))
         else:
-            alone = boxes.withColumn("key_", F.xxhash64(key)).join(pairs.select(F.xxhash64(key).alias("key_")).distinct(), "key_", "left_anti").drop("key_")
-        return pairs.unionByName(alone.withColumns({ROW: F.lit(None).cast("long"), COLUMN: F.lit(None).cast("long")}))
+            alone = features.withColumn("key_", F.xxhash64(key)).join(pairs.select(F.xxhash64(key).alias("key_")).distinct(), "key_", "left_anti").drop("key_")
+        return self._labelled(pairs.unionByName(alone.withColumns({ROW: F.lit(None).cast("long"), COLUMN: F.lit(None).cast("long")})), as_tile, as_index)
 
-    def overlay(self, boxes: DataFrame, how: str = "intersection", crs: int | str | None = None) -> DataFrame:
-        """Boxes cut along the cells: a row for each part that has an area, with its cell's indices.
+    def overlay(self, features: DataFrame, how: str = "intersection", crs: int | str | None = None, as_index: bool = False, as_tile: int | None = None) -> DataFrame:
+        """Features cut along the cells: a row for each part that has an area, with its cell's indices.
 
-        ``identity`` adds the parts outside the grid, with null indices, ``union`` also what no box covers of
-        each cell, as rows whose attributes are null and whose ``area`` is what is left; ``symmetric_difference``
-        gives the latter and the parts outside. ``difference`` isn't implemented.
+        Features are boxes, or polygons with a column ``polygons``, which is cut as well. ``identity`` adds the
+        parts outside the grid, with null indices; ``union`` also what no feature covers of each cell, as rows
+        whose attributes are null; ``symmetric_difference`` gives the latter and the parts outside.
+        ``difference`` isn't implemented. What is left of a cell is a row with its bounds, ``area`` and the
+        geometry itself: ``polygons`` of trapezoids between the features' corners. Other options as for ``sjoin``.
         """
         if how == "difference":
             raise NotImplementedError("difference")
         if how not in ("intersection", "union", "identity", "symmetric_difference"):
             raise ValueError(f"unknown overlay: {how}")
-        self._check("left", "intersects", crs)
-        pairs = self.candidates(boxes).select("*", *[v.alias(f"cell_{k}") for k, v in self._box(F.col("kx"), F.col("ky")).items()])
-        pairs = pairs.where(shares_area(Box(), Box("cell_")))
+        self._check("left", "intersects")
+        features = reprojected(features, crs, self.crs)
+        exact, whole = polygons_.is_polygons(features), F.col(polygons_.COLUMN)
+        pairs = self._with_cells(features).where(shares_area(Box(), Box("cell_")))
         row, col = self._named(F.col("kx"), F.col("ky"))
         sides = intersection(Box(), Box("cell_"))
-        attributes = [c for c in boxes.columns if c not in sides]
-        inside = pairs.select(*attributes, row.alias(ROW), col.alias(COLUMN), *[v.alias(k) for k, v in sides.items()]).withColumn("area", Box().area)
+        attributes = [c for c in features.columns if c not in (*sides, polygons_.COLUMN)]
+        named = [*[F.col(c) for c in attributes], row.alias(ROW), col.alias(COLUMN)]
+        if exact:
+            inside = self._measured(pairs.select(*named, polygons_.clip_to_box(whole, Box("cell_")).alias(polygons_.COLUMN)))
+        else:
+            inside = pairs.select(*named, *[v.alias(k) for k, v in sides.items()]).withColumn("area", Box().area)
         if how == "intersection":
-            return inside
-        beyond = self._beyond(boxes).select(*attributes, F.lit(None).cast("long").alias(ROW), F.lit(None).cast("long").alias(COLUMN), "x0", "y0", "x1", "y1").withColumn("area", Box().area)
+            return self._labelled(inside, as_tile, as_index)
+        none = [F.lit(None).cast("long").alias(c) for c in (ROW, COLUMN)]
+        if exact:
+            beyond = features.select(*attributes, *none, F.explode(F.array(*[polygons_.clip_to_box(whole, b) for b in self._around()])).alias(polygons_.COLUMN))
+            beyond = self._measured(beyond)
+        else:
+            beyond = self._beyond(features).select(*attributes, *none, "x0", "y0", "x1", "y1").withColumn("area", Box().area)
         if how == "identity":
-            return inside.unionByName(beyond)
-        left = self.remainder(boxes.sparkSession, inside)
-        left = left.select(*[F.lit(None).cast(boxes.schema[c].dataType).alias(c) for c in attributes], ROW, COLUMN, "x0", "y0", "x1", "y1", "area")
-        return left.unionByName(beyond) if how == "symmetric_difference" else inside.unionByName(beyond).unionByName(left)
+            return self._labelled(inside.unionByName(beyond), as_tile, as_index)
+        left = self.remainder(features.sparkSession, inside)
+        left = left.select(*[F.lit(None).cast(features.schema[c].dataType).alias(c) for c in attributes], ROW, COLUMN, "x0", "y0", "x1", "y1", polygons_.COLUMN, "area")
+        parts = beyond if how == "symmetric_difference" else inside.unionByName(beyond)
+        if not exact:
+            parts = parts.withColumn(polygons_.COLUMN, polygons_.of_box(Box()))
+        return self._labelled(parts.unionByName(left), as_tile, as_index)
+
+    @staticmethod
+    def _measured(parts: DataFrame) -> DataFrame:
+        """Parts that have an area, with it and their bounds."""
+        out = parts.where(F.size(polygons_.COLUMN) > 0).withColumn("area", polygons_.measures(F.col(polygons_.COLUMN))["area"])
+        return out.where("area > 0").withColumns(polygons_.bounds(F.col(polygons_.COLUMN)))
+
+    def _around(self) -> list[Box]:
+        """The plane around the grid as four boxes: west, east, and south and north between."""
+        far = 1e300
+        sides = [(-far, -far, self.minx, far), (self.maxx, -far, far, far), (self.minx, -far, self.maxx, self.miny), (self.minx, self.maxy, self.maxx, far)]
+        return [LiteralBox(*s) for s in sides]
 
     def _beyond(self, boxes: DataFrame) -> DataFrame:
         """The parts of boxes outside the grid, as up to four boxes each: west, east, and south and north between."""
@@ -227,29 +282,59 @@ class Grid:
         return out.withColumns({k: F.col(f"part.{k}") for k in ("x0", "y0", "x1", "y1")}).drop("part")
 
     def remainder(self, spark: SparkSession, parts: DataFrame) -> DataFrame:
-        """Each cell that ``parts`` (of ``overlay``) doesn't cover, as its box and the area that is left."""
-        covered = parts.groupBy(ROW, COLUMN).applyInPandas(_union_area, f"{ROW} long, {COLUMN} long, covered double")
-        left = F.lit(self.cell_area) - F.coalesce("covered", F.lit(0.0))
-        return self.cells(spark).join(covered, [ROW, COLUMN], "left").withColumn("area", left).where(F.col("area") > 1e-12 * self.cell_area).drop("covered")
-
-
-def _union_area(rows):
-    """Area of the union of some boxes, by a sweep over their x sides."""
-    import numpy as np
-    import pandas as pd
-
-    box = rows[["x0", "y0", "x1", "y1"]].to_numpy()
-    box = np.unique(box, axis=0)
-    xs = np.unique(box[:, [0, 2]])
-    total = 0.0
-    for a, b in zip(xs[:-1], xs[1:], strict=True):
-        on = box[(box[:, 0] <= a) & (box[:, 2] >= b)]
-        if len(on):
-            on = on[np.argsort(on[:, 1])]
-            top = np.maximum.accumulate(on[:, 3])
-            begin = np.append(on[0, 1], np.maximum(on[1:, 1], top[:-1]))
-            total += (b - a) * float(np.maximum(top - np.minimum(begin, top), 0).sum())
-    return pd.DataFrame({ROW: [rows[ROW].iloc[0]], COLUMN: [rows[COLUMN].iloc[0]], "covered": [total]})
+        """Each cell that ``parts`` (of ``overlay``) doesn't cover: its indices, box, the ``area`` that is left, and its ``polygons``.
+
+        A cell's parts meet in one task; equal boxes count once before they are sent.
+        """
+        cells = self.cells(spark)
+        if not polygons_.is_polygons(parts):
+            parts = parts.select(ROW, COLUMN, "x0", "y0", "x1", "y1").distinct().withColumn(polygons_.COLUMN, polygons_.of_box(Box()))
+        held = parts.select(ROW, COLUMN, polygons_.COLUMN).join(cells, [ROW, COLUMN])
+        cut = held.groupBy(ROW, COLUMN).applyInArrow(_uncovered, f"{ROW} long, {COLUMN} long, covered double, {polygons_.COLUMN} {polygons_.POLYGONS}")
+        out = cells.join(cut, [ROW, COLUMN], "left")
+        untouched = F.col("covered").isNull()
+        out = out.withColumn("area", F.lit(self.cell_area) - F.coalesce("covered", F.lit(0.0))).where(F.col("area") > 1e-12 * self.cell_area)
+        return out.withColumn(polygons_.COLUMN, F.when(untouched, polygons_.of_box(Box())).otherwise(F.col(polygons_.COLUMN))).drop("covered")
+
+
+@dataclass(frozen=True)
+class LiteralBox(Box):
+    """A box with fixed sides."""
+
+    def __init__(self, *sides: float):
+        object.__setattr__(self, "prefix", "")
+        object.__setattr__(self, "sides", dict(zip(("x0", "y0", "x1", "y1"), map(float, sides), strict=True)))
+
+    def __getattr__(self, side: str) -> Column:
+        if side not in ("x0", "y0", "x1", "y1"):
+            raise AttributeError(side)
+        return F.lit(self.sides[side])
+
+
+def reprojected(features: DataFrame, source: int | str | None, target: int | str) -> DataFrame:
+    """Features in another CRS: polygons vertex by vertex, boxes by their corners. None, and equal codes, leave them."""
+    if source is None or crs_.code(source) == crs_.code(target):
+        return features
+    if polygons_.is_polygons(features):
+        moved = features.withColumn(polygons_.COLUMN, polygons_.project(F.col(polygons_.COLUMN), source, target))
+        return moved.withColumns(polygons_.bounds(F.col(polygons_.COLUMN)))
+    corners = [crs_.reproject(F.col(x), F.col(y), source, target) for x in ("x0", "x1") for y in ("y0", "y1")]
+    xs, ys = zip(*corners, strict=True)
+    return features.withColumns({"x0": F.least(*xs), "y0": F.least(*ys), "x1": F.greatest(*xs), "y1": F.greatest(*ys)})
+
+
+def _uncovered(group):
+    """Of one cell: the area that some polygons cover, and what is left of it as trapezoids."""
+    import pyarrow as pa
+
+    sides = [group.column(c)[0].as_py() for c in ("x0", "y0", "x1", "y1")]
+    covered, left = 0.0, []
+    for (a, b, low, high), depth in polygons_.slabs(polygons_._Flat(group.column(polygons_.COLUMN)), *sides):
+        if depth:
+            covered += (b - a) * float((high - low).sum()) / 2
+        else:
+            left.append(polygons_.trapezoid(a, b, low, high))
+    return pa.table({ROW: group.column(ROW).slice(0, 1), COLUMN: group.column(COLUMN).slice(0, 1), "covered": pa.array([covered]), polygons_.COLUMN: polygons_.arrow([left])})
 
 
 EPSILON = 1e-11

@@ -28,6 +28,36 @@ def subdir_of_footprint(path: Column, prefix: str, suffix: str) -> Column:
     return F.concat(F.when(name.startswith(prefix), F.substring(name, F.lit(len(prefix) + 1), F.length(name))).otherwise(name), F.lit(suffix))
 
 
+def footprint_path(path: Column, input_dir: str, footprint_dir: str, prefix: str = "", ext: str = ".shp") -> Column:
+    """Where the footprint of an input file is: the same place below ``footprint_dir``, its name with ``prefix`` and ``ext``."""
+    below = F.when(path.startswith(input_dir), F.substring(path, F.lit(len(input_dir) + 1), F.length(path))).otherwise(path)
+    folder = F.regexp_replace(below, "[^/]*$", "")
+    return F.concat(F.lit(footprint_dir.rstrip("/")), F.when(folder.startswith("/"), folder).otherwise(F.concat(F.lit("/"), folder)), F.lit(prefix), base_name(below), F.lit(ext))
+
+
+def dir_to_filename(path: Column, prefix: str = "", suffix: str = "", ext: str = ".shp") -> Column:
+    """A folder's last part less ``suffix``, with ``prefix`` and ``ext``: the name of its footprint."""
+    name = F.substring_index(F.regexp_replace(path, "/+$", ""), "/", -1)
+    return F.concat(F.lit(prefix), F.when(name.endswith(suffix), F.substring(name, F.lit(1), F.length(name) - len(suffix))).otherwise(name) if suffix else name, F.lit(ext))
+
+
+def id_to_name(identifier: Column, suffix: str = "") -> Column:
+    """A footprint's id as the name of its file: with ``suffix`` unless it ends so."""
+    return F.when(identifier.endswith(suffix), identifier).otherwise(F.concat(identifier, F.lit(suffix))) if suffix else identifier
+
+
+def status_counts(records: DataFrame, column: str = "status") -> DataFrame:
+    """(status, n)."""
+    return records.groupBy(column).agg(F.count("*").alias("n"))
+
+
+def replacement_report(replaced: DataFrame, preferred: DataFrame) -> DataFrame:
+    """Of ``preferred_paths``: how many paths there are, how many were replaced, how many preferred ones there are, and how many of these replaced none."""
+    got = replaced.agg(F.count("*").alias("n_main"), F.sum(F.col("replaced").cast("long")).alias("n_replaced"))
+    unused = preferred.join(replaced.where("replaced").select("path"), "path", "left_anti").agg(F.count("*").alias("n_unused"))
+    return got.join(preferred.agg(F.count("*").alias("n_preferred"))).join(unused)
+
+
 def directory_match(footprints: DataFrame, subdirs: DataFrame) -> DataFrame:
     """(original_footprint_path, key) against (key, path): status no_match, matched or multiple_matches, and the match if there is one."""
     n, match = F.count("path"), F.min("path")
@@ -67,6 +97,12 @@ def write_by_status(records: DataFrame, out_dir: str, statuses: tuple[str, ...]
         records.where(F.col("status") == status).write.mode("overwrite").json(f"{out_dir}/{status}")
 
 
+def write_lists(paths: DataFrame, missing: DataFrame, out_dir: str) -> None:
+    """The final list of paths and that of inputs without a footprint, as JSON lines."""
+    paths.write.mode("overwrite").json(f"{out_dir}/paths")
+    missing.write.mode("overwrite").json(f"{out_dir}/missing")
+
+
 def split_by_name(features: DataFrame, out_dir: str, name: str = "Name") -> None:
     """A folder for each feature name."""
     features.where(F.col(name).isNotNull()).withColumn("name_", F.col(name)).repartition("name_").write.mode("overwrite").partitionBy("name_").parquet(out_dir)

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, fields, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..functions import crs as crs_
+from ..functions import polygons as polygons_
 from ..functions.box import Box
 from ..functions.paths import TilePaths, tile_text
 from ..operators import dedup as dedup_
-from ..operators.grid import TILE_MATRIX_SETS, Grid, tile_bounds, tms_grids
+from ..operators.grid import TILE_MATRIX_SETS, Grid, reprojected, tile_bounds, tms_grids
 from ..runtime import cut
 
 #: Names of the added columns; fixed values.
@@ -59,9 +63,14 @@ class StagingConfig:
 
 
 def check_names(df: DataFrame, config: StagingConfig) -> None:
-    """Raises ``ValueError`` where a column that staging adds is there already, in whatever case."""
+    """Raises ``ValueError`` where a column that staging adds, or an entry of a map ``attributes`` of that name, is there already, in whatever case."""
+    added = {n.lower(): n for k, n in config.props.items() if k != "duplicated"}
     there = {c.lower() for c in df.columns}
-    if taken := [n for k, n in config.props.items() if k != "duplicated" and n.lower() in there]:
+    if "attributes" in df.columns and isinstance(df.schema["attributes"].dataType, MapType):
+        name = F.lower(F.col("name"))
+        found = df.select(F.explode(F.map_keys("attributes")).alias("name")).where(name.isin(*added)).select(name.alias("name")).distinct()
+        there |= {r.name for r in found.collect()}  # of the few names that staging adds
+    if taken := [n for low, n in added.items() if low in there]:
         raise ValueError(f"columns are there already: {taken}")
 
 
@@ -70,14 +79,18 @@ def only_polygons(features: DataFrame, kind: str = "geom_type") -> DataFrame:
 
 
 def to_tms_crs(features: DataFrame, source: int | str | None, config: StagingConfig) -> DataFrame:
-    """Boxes in the CRS of the tile matrix set."""
+    """Features in the CRS of the tile matrix set: polygons by their vertices, boxes by their corners."""
     if config.input_crs is None and source is None:
         raise ValueError("the features' CRS isn't known; set input_crs")
-    a, b = config.input_crs or source, TILE_MATRIX_SETS[config.tms_id]["crs"]
-    if crs_.code(a) == crs_.code(b):
+    return reprojected(features, config.input_crs or source, TILE_MATRIX_SETS[config.tms_id]["crs"])
+
+
+def simplify(features: DataFrame, tolerance: float | None) -> DataFrame:
+    """Polygons without the vertices that lie within ``tolerance``; boxes, and None, leave the features as they are."""
+    if tolerance is None or not polygons_.is_polygons(features):
         return features
-    low, high = crs_.reproject(F.col("x0"), F.col("y0"), a, b), crs_.reproject(F.col("x1"), F.col("y1"), a, b)
-    return features.withColumns({"x0": low[0], "y0": low[1], "x1": high[0], "y1": high[1]})
+    out = features.withColumn(polygons_.COLUMN, polygons_.simplified(F.col(polygons_.COLUMN), tolerance))
+    return out.withColumns(polygons_.bounds(F.col(polygons_.COLUMN)))
 
 
 def total_bounds(features: DataFrame) -> DataFrame:
@@ -92,7 +105,7 @@ def make_grids(features: DataFrame, config: StagingConfig) -> list[Grid]:
 
 def assign_tiles(features: DataFrame, grid: Grid, z: int, tile: str = "tile") -> DataFrame:
     """Each feature once for each tile that it meets (closed), with columns tile_x, tile_y, tile_z and the tile's text."""
-    out = grid.candidates(features)
+    out = grid.meeting(features)
     row, col = grid._named(F.col("kx"), F.col("ky"))
     out = out.withColumns({"tile_x": col, "tile_y": row, "tile_z": F.lit(z)}).drop("kx", "ky")
     return out.withColumn(tile, tile_text(F.col("tile_x"), F.col("tile_y"), F.col("tile_z")))
@@ -100,11 +113,15 @@ def assign_tiles(features: DataFrame, grid: Grid, z: int, tile: str = "tile") ->
 
 def add_properties(features: DataFrame, grid: Grid, config: StagingConfig, filename: Column, identifier: Column | None = None) -> DataFrame:
     """Area, centroid, file name, identifier, centroid tile and tiles. The identifier is made before tiles are
-    assigned, so that all copies of a feature share it: a hash of its file, box and attributes unless given."""
+    assigned, so that all copies of a feature share it: a hash of its file and of all its columns unless given.
+    With the columns layer and fid of the vector sources among them, equal features of a file have different ones."""
     check_names(features, config)
-    p, (x, y) = config.props, Box().centroid
+    p, (x, y), area = config.props, Box().centroid, Box().area
     made = F.sha2(F.to_json(F.struct(filename.alias("f"), *features.columns)), 256) if identifier is None else identifier
-    out = features.withColumns({p["area"]: Box().area, p["centroid_x"]: x, p["centroid_y"]: y, p["filename"]: filename, p["identifier"]: made})
+    out = features.withColumns({p["filename"]: filename, p["identifier"]: made})
+    if polygons_.is_polygons(features):
+        out, (area, x, y) = out.withColumn("m_", polygons_.measures(F.col(polygons_.COLUMN))), (F.col(f"m_.{c}") for c in ("area", "x", "y"))
+    out = out.withColumns({p["area"]: area, p["centroid_x"]: x, p["centroid_y"]: y}).drop("m_")
     row, col = grid.indices_from_xy(F.col(p["centroid_x"]), F.col(p["centroid_y"]))
     out = out.withColumn(p["centroid_tile"], tile_text(col, row, F.lit(config.z)))
     out = assign_tiles(out, grid, config.z, p["tile"])
@@ -118,11 +135,20 @@ def filename_of(path: Column, directory: str) -> Column:
 
 
 def stage(features: DataFrame, config: StagingConfig, filename: Column, crs: int | str | None = 4326, footprint: DataFrame | None = None, identifier: Column | None = None) -> DataFrame:
-    """The whole pipeline up to writing. Features are boxes; a column geom_type, where there is one, filters polygons."""
+    """The whole pipeline up to writing: type filter, simplification, clip to the footprint, CRS, properties and tiles.
+
+    Features are boxes or, with a column ``polygons``, polygons; a column geom_type, where there is one, filters
+    polygons. ``footprint``: shapes in the features' CRS ``crs``; asking for a clip without one raises ``ValueError``.
+    """
     out = only_polygons(features) if "geom_type" in features.columns else features
-    out = to_tms_crs(out, crs, config)
-    if config.clip_to_footprint and config.dedup_method and footprint is not None:
+    if polygons_.is_polygons(features):
+        out = out.where(~polygons_.is_empty(F.col(polygons_.COLUMN)))
+    out = simplify(out, config.simplify_tolerance)
+    if config.clip_to_footprint and config.dedup_method:
+        if footprint is None:
+            raise ValueError("clip_to_footprint needs a footprint")
         out = dedup_.clip_to_boundary(out.withColumn("clip_id_", F.monotonically_increasing_id()), footprint, "intersects", config.props["duplicated"], "clip_id_").drop("clip_id_")
+    out = to_tms_crs(out, crs, config)
     staged = [add_properties(out, g, config, filename, identifier) for g in make_grids(out, config)]
     return staged[0] if len(staged) == 1 else staged[0].unionByName(staged[1])
 
@@ -137,6 +163,8 @@ def dedup_method(config: StagingConfig, footprints: DataFrame | None = None, key
         return lambda df: dedup_.deduplicate_neighbors(
             df, config.split_by, config.keep_rules, config.overlap_tolerance, config.overlap_both, config.centroid_tolerance, config.distance_crs, crs, label, key, [config.props["tile"]]
         )
+    if footprints is None:
+        raise ValueError("deduplication by footprints needs them")
     return lambda df: dedup_.deduplicate_by_footprint(df.withColumn(label, dedup_.normal(F.col(label)) if label in df.columns else F.lit(False)), footprints, config.split_by, config.keep_rules, label, key)
 
 
@@ -175,30 +203,57 @@ def summarise(staged: DataFrame, config: StagingConfig, count: Column | None = N
     return out.select("filename", "num_polygons", "area_polygons", "tile_x", "tile_y", "tile_z", *[sides[s].alias(f"tile_{s}") for s in ("top", "right", "bottom", "left")], F.lit(config.tms_id).alias("tms_identifier"))
 
 
+#: The column that tells which batch wrote a row.
+BATCH = "staging_batch"
+
+
 def save_tiles(staged: DataFrame, path: str, config: StagingConfig, footprints: DataFrame | None = None, batch_id: str | None = None) -> DataFrame:
     """Writes rows of tiles under ``path``/tiles (by tms, z, x, y) and the batch's summary under ``path``/summary; returns the summary.
 
     Each tile is one partition and one task writes it. Replaced tiles go by dynamic partition overwrite.
+    A batch can be written again after a crash: rows that an earlier attempt of the same ``batch_id`` has left are
+    taken out first, and their tiles are replaced rather than added to. The summary is written last, and tells that
+    the batch is done; a batch that it holds already isn't written again.
     """
     spark = staged.sparkSession
+    batch = batch_id or uuid.uuid4().hex
     tiles, key = f"{path}/tiles", config.props["tile"]
+    done = read_if_there(spark, f"{path}/summary")
+    if done is not None:
+        done = done.where(F.col("batch_id") == batch)
+        if not done.isEmpty():
+            return done
     keyed = lambda df: df.withColumns({"tms": F.lit(config.tms_id), "z": F.col("tile_z"), "x": F.col("tile_x"), "y": F.col("tile_y")})
-    try:
-        existing = spark.read.option("mergeSchema", "true").parquet(tiles).drop("tms", "z", "x", "y")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        existing = None
-    plan = cut(save_plan(staged, existing, dedup_method(config, footprints), config.deduplicate_at, config.props["duplicated"], key))
+    existing, torn = read_if_there(spark, tiles), None
+    if existing is not None:
+        existing = existing.drop("tms", "z", "x", "y")
+        own = F.coalesce(F.col(BATCH) == batch, F.lit(False))
+        torn, existing = cut(existing.where(own).select(key).distinct()), existing.where(~own)
+    plan = save_plan(staged.withColumn(BATCH, F.lit(batch)), existing, dedup_method(config, footprints), config.deduplicate_at, config.props["duplicated"], key)
+    if torn is not None and not torn.isEmpty():
+        plan = plan.join(torn.withColumn("torn", F.lit(True)), key, "left")
+        back = existing.join(plan.where("torn and mode <> 'overwrite'").select(key).distinct(), key, "left_semi").withColumn("mode", F.lit("overwrite"))
+        plan = plan.withColumn("mode", F.when(F.col("torn"), "overwrite").otherwise(F.col("mode"))).drop("torn").unionByName(back, allowMissingColumns=True)
+    plan = cut(plan)
     for rows, mode in ((plan.where("mode = 'overwrite'"), "overwrite"), (plan.where("mode <> 'overwrite'"), "append")):
         if not rows.isEmpty():
             out = keyed(rows.drop("mode")).repartition("tms", "z", "x", "y").write.partitionBy("tms", "z", "x", "y")
             out.option("partitionOverwriteMode", "dynamic").mode(mode).parquet(tiles)
-    summary = summarise(plan, config).withColumns({"datetime": F.current_timestamp(), "batch_id": F.lit(batch_id) if batch_id else F.uuid()})
+    summary = cut(summarise(plan, config).withColumns({"datetime": F.current_timestamp(), "batch_id": F.lit(batch)}))
     summary.write.mode("append").parquet(f"{path}/summary")
     return summary
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, with the columns of all of its files; None where there isn't one."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def csv_to_parquet(spark: SparkSession, source: str, target: str) -> None:
     """A CSV with a header as snappy Parquet; the CSV stays."""
     spark.read.csv(source, header=True, inferSchema=True).write.mode("overwrite").option("compression", "snappy").parquet(target)
@@ -217,6 +272,12 @@ def without(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.drop(*columns)
 
 
+def write_archive(spark: SparkSession, path: str, config: StagingConfig | None = None) -> None:
+    """The tiles under ``path``/tiles as an archive under ``path``/archive, in the same layout."""
+    rows = archive(spark.read.option("mergeSchema", "true").parquet(f"{path}/tiles"), config)
+    rows.repartition("tms", "z", "x", "y").write.mode("overwrite").partitionBy("tms", "z", "x", "y").parquet(f"{path}/archive")
+
+
 def archive(staged: DataFrame, config: StagingConfig | None = None) -> DataFrame:
     """The rows that stand for their features, each in the tile of its centroid, less the columns that tell so."""
     p = (config or StagingConfig()).props

@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
@@ -218,13 +218,32 @@ def grid_overlay_identity(spark, sf_dir):
 
 
 
+# What lies outside the grid, as boxes, and what is left of each cell between the sides of all that meets it.
+_SIDES = {"w": ("x0", "y0", "{minx}", "y1"), "e": ("{maxx}", "y0", "x1", "y1"), "s": ("{minx}", "y0", "{maxx}", "{miny}"), "n": ("{minx}", "{maxy}", "{maxx}", "y1")}
 
-@query()
+
+def _outside() -> str:
+    grid = {k: f"{getattr(GRID, k)}::double" for k in ("minx", "miny", "maxx", "maxy")}
+    parts = []
+    for a, b, c, d in ([v.format(**grid) for v in side] for side in _SIDES.values()):
+        parts.append(f"select fid, (least(x1, {c}) - greatest(x0, {a})) * (least(y1, {d}) - greatest(y0, {b})) as area from {FEAT} where least(x1, {c}) > greatest(x0, {a}) and least(y1, {d}) > greatest(y0, {b})")
+    return f"select fid, cast(null as bigint) as {ROW}, cast(null as bigint) as {COLUMN}, area from ({' union all '.join(parts)})"
+
+
+_LEFT = f"""xs as (select {ROW}, {COLUMN}, x, lead(x) over (partition by {ROW}, {COLUMN} order by x) as nx from (select {ROW}, {COLUMN}, x0 as x from p union select {ROW}, {COLUMN}, x1 from p)),
+ys as (select {ROW}, {COLUMN}, y, lead(y) over (partition by {ROW}, {COLUMN} order by y) as ny from (select {ROW}, {COLUMN}, y0 as y from p union select {ROW}, {COLUMN}, y1 from p)),
+slab as (select xs.*, p.y0, p.y1 from xs join p on p.{ROW} = xs.{ROW} and p.{COLUMN} = xs.{COLUMN} and p.x0 <= x and p.x1 >= nx),
+held as (select distinct slab.{ROW}, slab.{COLUMN}, x, nx, y, ny from slab join ys on ys.{ROW} = slab.{ROW} and ys.{COLUMN} = slab.{COLUMN} and slab.y0 <= y and slab.y1 >= ny),
+sums as (select {ROW}, {COLUMN}, sum((nx - x) * (ny - y)) as held from held group by all)"""
+_REST = f"select cast(null as bigint) as fid, {ROW}, {COLUMN}, {GRID.cell_area}::double - coalesce(held, 0) as area from {_CELLS} c left join sums using ({ROW}, {COLUMN}) where {GRID.cell_area}::double - coalesce(held, 0) > {1e-12 * GRID.cell_area}"
+
+
+@query(f"with p as (select * from {_PART}), {_LEFT} select fid, {ROW}, {COLUMN}, (x1 - x0) * (y1 - y0) as area from p union all {_outside()} union all {_REST}")
 def grid_overlay_union(spark, sf_dir):
     return GRID.overlay(_feat(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1"), "union").select("fid", ROW, COLUMN, "area")
 
 
-@query()
+@query(f"with p as (select * from {_PART}), {_LEFT} {_outside()} union all {_REST}")
 def grid_overlay_symmetric_difference(spark, sf_dir):
     return GRID.overlay(_feat(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1"), "symmetric_difference").select("fid", ROW, COLUMN, "area")
 
@@ -278,21 +297,22 @@ def _read(spark, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("""with f as (select 'foot/' || s_suppkey || '.shp' as p, s_suppkey % 40 as k from supplier), d as (select p_size % 40 as k, 'in/' || p_partkey as path from part where p_partkey % 29 = 0)
+@query("""with f as (select 'foot/' || s_suppkey || '.shp' as p, s_suppkey % 40 as k from supplier), d as (select case when p_partkey % 29 = 0 then p_size % 40 else 40 + p_partkey end as k, 'in/' || p_partkey as path from part)
 select p as original_footprint_path, case count(path) when 0 then 'no_match' when 1 then 'matched' else 'multiple_matches' end as status, case when count(path) = 1 then min(path) end as match
 from f left join d using (k) group by p""")
 def footprint_dir_match(spark, sf_dir):
     f = _read(spark, sf_dir, "supplier").selectExpr("concat('foot/', s_suppkey, '.shp') as original_footprint_path", "s_suppkey % 40 as key")
-    d = _read(spark, sf_dir, "part").where("p_partkey % 29 = 0").selectExpr("cast(p_size % 40 as bigint) as key", "concat('in/', p_partkey) as path")
+    d = _read(spark, sf_dir, "part").selectExpr("cast(case when p_partkey % 29 = 0 then p_size % 40 else 40 + p_partkey end as bigint) as key", "concat('in/', p_partkey) as path")
     return prep.directory_match(f, d)
 
 
 @query("""with f as (select 'foot/' || s_suppkey as p, 'a' || s_suppkey || '_d' || (s_suppkey % 7) || '_c' as id from supplier),
-m as (select 'a' || p_partkey || '_d' || (p_partkey % 7) || '_c' as id, min('in/' || p_brand || '/a' || p_partkey || '_d' || (p_partkey % 7) || '_c_u_v.shp') as match from part where p_partkey % 3 > 0 group by 1)
+m as (select 'a' || k || '_d' || (p_partkey % 7) || '_c' as id, min('in/' || p_brand || '/a' || k || '_d' || (p_partkey % 7) || '_c_u_v.shp') as match from (select *, p_partkey * case when p_partkey % 3 > 0 then 1 else -1 end as k from part) t group by 1)
 select p as original_footprint_path, id as footprint_id, string_split(id, '_')[2] as date, case when match is null then 'no_match' else 'matched' end as status, match from f left join m using (id)""")
 def footprint_feature_match(spark, sf_dir):
     f = _read(spark, sf_dir, "supplier").selectExpr("concat('foot/', s_suppkey) as original_footprint_path", "concat('a', s_suppkey, '_d', s_suppkey % 7, '_c') as footprint_id")
-    files = _read(spark, sf_dir, "part").where("p_partkey % 3 > 0").selectExpr("concat('in/', p_brand, '/a', p_partkey, '_d', p_partkey % 7, '_c_u_v.shp') as path")
+    files = _read(spark, sf_dir, "part").selectExpr("p_brand", "p_partkey", "p_partkey * case when p_partkey % 3 > 0 then 1 else -1 end as k")
+    files = files.selectExpr("concat('in/', p_brand, '/a', k, '_d', p_partkey % 7, '_c_u_v.shp') as path")
     return prep.feature_match(f, files)
 
 
@@ -494,11 +514,15 @@ def grid_land_metrics(spark, sf_dir):
 # Rings and projections.
 
 
-def _rings(spark, sf_dir) -> DataFrame:
-    """L-shapes: a feature's box less its upper right quarter."""
+def _ell() -> Column:
+    """The rings of an L-shape: a feature's box less its upper right quarter."""
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     shape = [("x0", "y0"), ("x1", "y0"), ("x1", "cy"), ("cx", "cy"), ("cx", "y1"), ("x0", "y1"), ("x0", "y0")]
-    return _feat(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1", "cx", "cy", F.array(F.array(*[corner(*p) for p in shape])).alias("rings"))
+    return F.array(F.array(*[corner(*p) for p in shape]))
+
+
+def _rings(spark, sf_dir) -> DataFrame:
+    return _feat(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1", "cx", "cy", _ell().alias("rings"))
 
 
 @query(f"select fid, 0.75e0 * area as area, round(cx - (x1 - x0) / 12, 9) as x, round(cy - (y1 - y0) / 12, 9) as y from {FEAT}")
@@ -532,6 +556,131 @@ def ring_cell_area(spark, sf_dir):
     return out.select("fid", row.alias(ROW), col.alias(COLUMN), F.round(area, 6).alias("area"))
 
 
+# Polygons: L-shapes, a feature's box less its upper right quarter. In SQL they are two boxes that share a side.
+
+
+def _ells(spark, sf_dir) -> DataFrame:
+    return _feat(spark, sf_dir).select("fid", "filename", "price", "geom_type", "x0", "x1", "y0", "y1", F.array(_ell()).alias("polygons"))
+
+
+_LOW, _TALL = {"x0": "{f}.x0", "y0": "{f}.y0", "x1": "{f}.x1", "y1": "{f}.cy"}, {"x0": "{f}.x0", "y0": "{f}.cy", "x1": "{f}.cx", "y1": "{f}.y1"}
+_GAP = {"x0": "{f}.cx", "y0": "{f}.cy", "x1": "{f}.x1", "y1": "{f}.y1"}
+_WHOLE = {k: f"{{f}}.{k}" for k in ("x0", "y0", "x1", "y1")}
+
+
+def _of(part: dict, f: str) -> dict:
+    return {k: v.format(f=f) for k, v in part.items()}
+
+
+def _meet_sql(a: dict, b: dict, closed: bool = True) -> str:
+    le = "<=" if closed else "<"
+    return f"({a['x0']} {le} {b['x1']} and {b['x0']} {le} {a['x1']} and {a['y0']} {le} {b['y1']} and {b['y0']} {le} {a['y1']})"
+
+
+def _common_sql(a: dict, b: dict) -> str:
+    return f"greatest(least({a['x1']}, {b['x1']}) - greatest({a['x0']}, {b['x0']}), 0) * greatest(least({a['y1']}, {b['y1']}) - greatest({a['y0']}, {b['y0']}), 0)"
+
+
+def _ell_meets(f: str, t: str, closed: bool = True) -> str:
+    return "(" + " or ".join(_meet_sql(_of(part, f), _of(_WHOLE, t), closed) for part in (_LOW, _TALL)) + ")"
+
+
+_FINE = Grid((-20, -20, 20, 20), 80, 80, first_row_i=-3)
+_FINE_CELLS = f"""(select cast({_FINE.first_row_i + _FINE.nrows - 1} - ky as bigint) as {ROW}, cast(kx as bigint) as {COLUMN}, kx * 0.5e0 - 20 as x0, ky * 0.5e0 - 20 as y0, (kx + 1) * 0.5e0 - 20 as x1, (ky + 1) * 0.5e0 - 20 as y1
+from (select unnest(range(80)) as ky) r, (select unnest(range(80)) as kx) c)"""
+_ELL_CONTAINS = f"({_COVERS.format(a='f', b='t')} and not {_meet_sql(_of(_GAP, 'f'), _of(_WHOLE, 't'), False)})"
+_ELL_PREDICATE = {
+    "intersects": _ell_meets("f", "t"), "contains": _ELL_CONTAINS, "within": _COVERS.format(a="t", b="f"), "touches": f"{_ell_meets('f', 't')} and not {_ell_meets('f', 't', False)}", "crosses": "false",
+    "overlaps": f"{_ell_meets('f', 't', False)} and not {_ELL_CONTAINS} and not ({_COVERS.format(a='t', b='f')})",
+}
+
+
+def _ell_sjoin(name: str) -> None:
+    def run(spark, sf_dir):
+        return _FINE.sjoin(_ells(spark, sf_dir), "inner", name).select("fid", ROW, COLUMN)
+
+    run.__name__ = f"polygon_sjoin_{name}"
+    query(f"select f.fid, t.{ROW}, t.{COLUMN} from {FEAT} f join {_FINE_CELLS} t on f.x0 <= t.x1 and t.x0 <= f.x1 and f.y0 <= t.y1 and t.y0 <= f.y1 and {_ELL_PREDICATE[name]}")(run)
+
+
+for _p in PREDICATES:
+    _ell_sjoin(_p)
+
+
+@query(f"select f.fid, t.{ROW}, t.{COLUMN} from {FEAT} f left join (select f.fid as id, t.{ROW}, t.{COLUMN} from {FEAT} f join {_CELLS} t on {_ell_meets('f', 't')}) t on f.fid = t.id")
+def polygon_sjoin_left(spark, sf_dir):
+    return GRID.sjoin(_ells(spark, sf_dir)).select("fid", ROW, COLUMN)
+
+
+_ELL_PART = f"(select f.fid, t.{ROW}, t.{COLUMN}, {_common_sql(_of(_LOW, 'f'), _of(_WHOLE, 't'))} + {_common_sql(_of(_TALL, 'f'), _of(_WHOLE, 't'))} as area from {FEAT} f join {_CELLS} t on {_AREA})"
+
+
+@query(f"select * from {_ELL_PART} where area > 0")
+def polygon_overlay(spark, sf_dir):
+    return GRID.overlay(_ells(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1", "polygons")).select("fid", ROW, COLUMN, "area")
+
+
+@query(f"select f.fid, 0.75e0 * f.area as area, 0.75e0 * f.area - coalesce(sum(p.area), 0) as outside from {FEAT} f left join {_ELL_PART} p on f.fid = p.fid group by f.fid, f.area")
+def polygon_overlay_identity(spark, sf_dir):
+    out = GRID.overlay(_ells(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1", "polygons"), "identity")
+    return out.groupBy("fid").agg(F.sum("area").alias("area"), F.sum(F.when(F.col(ROW).isNull(), F.col("area")).otherwise(0.0)).alias("outside"))
+
+
+@query(f"""select f.fid, f.filename as staging_filename, 0.75e0 * f.area as staging_area, round(f.cx - (f.x1 - f.x0) / 12, 6) as x, round(f.cy - (f.y1 - f.y0) / 12, 6) as y, {_NAME} as staging_tile
+from {FEAT} f join {_SNAPPED} t on {_ell_meets('f', 't')} where f.geom_type in ('Polygon', 'MultiPolygon')""")
+def polygon_staged(spark, sf_dir):
+    """Area, centroid and tiles of the shapes themselves, not of their bounds."""
+    out = staging.stage(_ells(spark, sf_dir), CONFIG, F.col("filename"))
+    return out.select("fid", "staging_filename", "staging_area", F.round("staging_centroid_x", 6).alias("x"), F.round("staging_centroid_y", 6).alias("y"), "staging_tile")
+
+
+_ELL_COMMON = " + ".join(_common_sql(_of(p, "a"), _of(q, "b")) for p in (_LOW, _TALL) for q in (_LOW, _TALL))
+
+
+def _ell_pairs(both: bool) -> str:
+    f = f"(select *, 'file_' || (fid % 2) || '.shp' as file from {FEAT})"
+    ratio = f" {'and' if both else 'or'} ".join(f"common > 0.30001e0 * 0.75e0 * {s}" for s in ("aa", "ab"))
+    return f"""q as (select loser from (select {_LARGER} as loser, {_ELL_COMMON} as common, a.area as aa, b.area as ab from {f} a join {f} b
+on a.file < b.file and a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1) where common > 0 and ({ratio}))"""
+
+
+def _ell_dedup(both: bool) -> None:
+    def run(spark, sf_dir):
+        shapes = _ells(spark, sf_dir).withColumn("filename", F.expr("concat('file_', cast(fid % 2 as string), '.shp')"))
+        return dedup.deduplicate_neighbors(shapes, "filename", [("price", "larger")], 0.30001, both).select("fid", "staging_duplicated")
+
+    run.__name__ = f"polygon_dedup_neighbors_{'both' if both else 'either'}"
+    query(f"with {_ell_pairs(both)} select fid, fid in (select loser from q) as staging_duplicated from {FEAT}")(run)
+
+
+_ell_dedup(False)
+_ell_dedup(True)
+
+
+@query(f"select fid, not exists (select 1 from {LAND} t where {_ell_meets('f', 't')}) as staging_duplicated from {FEAT} f")
+def polygon_clip_footprint(spark, sf_dir):
+    return dedup.clip_to_boundary(_ells(spark, sf_dir), fixtures.load(spark, sf_dir, "land")).select("fid", "staging_duplicated")
+
+
+def _ell_clip(name: str) -> None:
+    def run(spark, sf_dir):
+        return dedup.clip_to_boundary(_ells(spark, sf_dir), fixtures.load(spark, sf_dir, "land"), name).select("fid", "staging_duplicated")
+
+    run.__name__ = f"polygon_clip_{name}"
+    test = _ELL_PREDICATE[{"covers": "contains", "contains_properly": "contains"}.get(name, name)]
+    query(f"select fid, not exists (select 1 from {LAND} t where {test}) as staging_duplicated from {FEAT} f")(run)
+
+
+for _p in ("within", "overlaps", "touches", "covers", "contains_properly"):
+    _ell_clip(_p)
+
+
+@query(f"select fid, filename, fid % 17 = 0 or exists (select 1 from {_ZONES} t where t.file = f.filename and {_ell_meets('f', 't')}) as staging_duplicated from {FEAT} f")
+def polygon_dedup_footprint(spark, sf_dir):
+    shapes = _ells(spark, sf_dir).withColumn("staging_duplicated", F.col("fid") % 17 == 0)
+    return dedup.deduplicate_by_footprint(shapes, fixtures.load(spark, sf_dir, "footprint"), "filename", [("yr", "larger")]).select("fid", "filename", "staging_duplicated")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: features to tiles to the summary by file and tile, on the smallest tables."""
     return staging_summary(spark, "/root/testdata/sf0.001")

@@ -7,20 +7,27 @@ a record has none), srid and attributes (a map of strings). A file that can't be
 
 from __future__ import annotations
 
+import re
 import sqlite3
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import polygons as polygons_
 from ..functions import rings as rings_
 
 SCHEMA = "input_path string, layer string, fid long, geom_type string, geometry binary, srid int, attributes map<string,string>, error string"
 
 
+def listed(files: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
+    """Files (path) none of whose folders is in ``skip``."""
+    return files.where(~F.arrays_overlap(F.split("path", "/"), F.array(*map(F.lit, skip)))) if skip else files
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """(path, length) of all files below ``path`` that end with ``suffix``; contents aren't read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path)
@@ -72,11 +79,6 @@ def _polygons(parts: list[np.ndarray]) -> list[list[np.ndarray]]:
     return shells
 
 
-def as_wkb(polygons: list[list[np.ndarray]]) -> tuple[str, bytes]:
-    one = [rings_.to_wkb(p) for p in polygons]
-    return ("Polygon", one[0]) if len(one) == 1 else ("MultiPolygon", struct.pack("<BII", 1, 6, len(one)) + b"".join(one))
-
-
 def shp_records(raw: bytes) -> Iterator[tuple[str | None, bytes | None]]:
     """Type and well-known binary of each record: points, polygons, nulls; other types raise."""
     at = 100
@@ -93,7 +95,7 @@ def shp_records(raw: bytes) -> Iterator[tuple[str | None, bytes | None]]:
             n_parts, n = struct.unpack_from("<ii", body, 36)
             first = [*struct.unpack_from(f"<{n_parts}i", body, 44), n]
             points = np.frombuffer(body, "<f8", 2 * n, 44 + 4 * n_parts).reshape(n, 2)
-            yield as_wkb(_polygons([points[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]))
+            yield rings_.as_wkb(_polygons([points[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]))
         else:
             raise ValueError(f"shape type {kind} isn't supported")
 
@@ -124,7 +126,8 @@ def _type_of(wkb: bytes | None) -> str | None:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["input_path", "layer", "fid", "geom_type", "geometry", "srid", "attributes", "error"])
+    out = pd.DataFrame(rows, columns=["input_path", "layer", "fid", "geom_type", "geometry", "srid", "attributes", "error"])
+    return out.astype({"srid": "Int32", "fid": "Int64"})
 
 
 def read_gpkg(spark: SparkSession, path: str) -> DataFrame:
@@ -142,15 +145,38 @@ def read_gpkg(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, SCHEMA)
 
 
-def read_shp(spark: SparkSession, path: str, srid: int = 4326) -> DataFrame:
-    """All records of the shapefiles below ``path``, with the attributes of the .dbf of the same name."""
+#: Names of the supported CRSs in .prj files, without spaces, underscores and case; fixed values.
+PRJ_NAMES = {
+    "wgs84/pseudomercator": 3857, "wgs1984webmercatorauxiliarysphere": 3857, "wgs84/worldmercator": 3395, "wgs1984worldmercator": 3395,
+    "wgs84/nsidcease-grid2.0global": 6933, "wgs1984nsidcease-grid2.0global": 6933, "wgs84/nsidcseaicepolarstereographicnorth": 3413,
+    "wgs1984nsidcseaicepolarstereographicnorth": 3413, "gcswgs1984": 4326, "wgs84": 4326,
+}
+
+
+def srid_of_prj(text: str) -> int | None:
+    """The EPSG code of a .prj file: that of the whole definition's authority, or the one that its name stands for; None if neither tells."""
+    own = re.search(r'(?:AUTHORITY|ID)\s*\[\s*"EPSG"\s*,\s*"?(\d+)"?\s*\]\s*\]\s*$', text, re.I)
+    if own:
+        return int(own[1])
+    name = re.match(r'\s*\w+\s*\[\s*"([^"]*)"', text)
+    return PRJ_NAMES.get(re.sub(r"[\s_]", "", name[1]).lower()) if name else None
+
+
+def read_shp(spark: SparkSession, path: str, srid: int | None = None) -> DataFrame:
+    """All records of the shapefiles below ``path``, with the attributes of the .dbf and the CRS of the .prj of the same name.
+
+    ``srid``: the CRS of files without a .prj, or whose .prj isn't known.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        default = srid
         for files in batches:
-            for name, shp, dbf in zip(files.path, files.shp, files.dbf, strict=True):
+            for name, shp, dbf, prj in zip(files.path, files.shp, files.dbf, files.prj, strict=True):
                 try:
                     rows = dbf_rows(bytes(dbf)) if dbf is not None else []
-                    yield _frame([(name, None, k, kind, g, srid, rows[k] if k < len(rows) else {}, None) for k, (kind, g) in enumerate(shp_records(bytes(shp)))])
+                    known = srid_of_prj(bytes(prj).decode("utf-8", "replace")) if prj is not None else None
+                    srid_ = known or default
+                    yield _frame([(name, None, k, kind, g, srid_, rows[k] if k < len(rows) else {}, None) for k, (kind, g) in enumerate(shp_records(bytes(shp)))])
                 except Exception as e:  # noqa: BLE001
                     yield _frame([(name, None, None, None, None, None, None, repr(e))])
 
@@ -158,12 +184,22 @@ def read_shp(spark: SparkSession, path: str, srid: int = 4326) -> DataFrame:
         found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{suffix}").load(path)
         return found.select("path", F.regexp_replace("path", r"\.[^.]*$", "").alias("base"), F.col("content").alias(content))
 
-    both = files("shp", "shp").join(files("dbf", "dbf").drop("path"), "base", "left")
-    return both.select("path", "shp", "dbf").mapInPandas(run, SCHEMA)
+    both = files("shp", "shp").join(files("dbf", "dbf").drop("path"), "base", "left").join(files("prj", "prj").drop("path"), "base", "left")
+    return both.select("path", "shp", "dbf", "prj").mapInPandas(run, SCHEMA)
+
+
+def as_polygons(features: DataFrame) -> DataFrame:
+    """Polygons and MultiPolygons, one row each, with their ``polygons`` and bounds (x0, y0, x1, y1) instead of ``geometry``.
+
+    Null and empty geometries, and other types, are left out.
+    """
+    out = features.where(F.col("geom_type").isin("Polygon", "MultiPolygon")).withColumn(polygons_.COLUMN, polygons_.from_wkb(F.col("geometry")))
+    out = out.where(F.col(polygons_.COLUMN).isNotNull()).drop("geometry")
+    return out.withColumns(polygons_.bounds(F.col(polygons_.COLUMN)))
 
 
 def as_boxes(features: DataFrame) -> DataFrame:
-    """Polygons' bounding boxes (x0, y0, x1, y1), one row for each polygon of a MultiPolygon."""
+    """Bounding boxes (x0, y0, x1, y1), one row for each polygon of a MultiPolygon."""
     out = features.where(F.col("geom_type").isin("Polygon", "MultiPolygon")).withColumn("rings", F.explode(rings_.wkb_rings(F.col("geometry"))))
     return out.withColumns(rings_.bounds(F.col("rings")))
 

@@ -13,18 +13,15 @@ from ..plans import staging
 
 def done_before(spark, path: str, batch: str) -> bool:
     """Whether the summary holds the batch already, as after a restart."""
-    try:
-        return not spark.read.parquet(f"{path}/summary").where(F.col("batch_id") == batch).isEmpty()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
+    summary = staging.read_if_there(spark, f"{path}/summary")
+    return summary is not None and not summary.where(F.col("batch_id") == batch).isEmpty()
 
 
 def ingest(stream: DataFrame, path: str, config: staging.StagingConfig, checkpoint: str, stage: Callable[[DataFrame], DataFrame], once: bool = False) -> StreamingQuery:
     """Writes each batch of ``stream`` by ``staging.save_tiles``; ``stage`` makes rows of tiles of a batch.
 
-    A batch whose number the summary holds is skipped, so that a replayed batch isn't added twice.
+    A batch whose number the summary holds is skipped, and what a torn attempt of one left is replaced, so that a
+    replayed batch isn't added twice.
     ``once``: takes what is there and stops.
     """
 
