@@ -3,7 +3,8 @@
 Weights belong to the nodes of a tree (domain, language, source). From the root down, a node's budget is
 shared among its children by weight; a child can take no more than its subtree can supply, and what it
 leaves goes to its siblings by weight, before any of it could go to its parent's siblings: a node only
-gets less than its share if its whole subtree is short.
+gets less than its share if its whole subtree is short. Shares are whole tokens by largest remainders, so
+that children get exactly what their parent has, and the mixture as a whole exactly its target.
 
 A leaf with budget b and t tokens gives b div t whole epochs, and of one more epoch, ordered by a seeded
 hash, the documents that begin before the b mod t-th token. Where that prefix ends is found by radix
@@ -43,16 +44,26 @@ def place(seed: str, epoch: Column, doc_id: Column) -> Column:
 
 
 def _share(nodes: DataFrame, parents: list[str], name: str, weight: str) -> DataFrame:
-    """``nodes``: parents, name, supply, weight, parent_budget. Adds ``budget``, by filling in order of supply / weight."""
-    ratio = F.col("supply") / F.col(weight)
-    upto = Window.partitionBy(*parents).orderBy(ratio, name).rowsBetween(Window.unboundedPreceding, 0)
+    """``nodes``: parents, name, supply, weight, parent_budget. Adds ``budget``, by filling in order of supply / weight.
+
+    Sums and products are decimals: exact at any size. Of those that aren't short each can take one token more
+    than its share rounded down, as its supply is above the share; as many do as tokens are left, those with the
+    largest remainders, ties by name.
+    """
+    whole = lambda c: c.cast("decimal(38,0)")
+    supply, each, total = whole(F.col("supply")), whole(F.col(weight)), whole(F.col("parent_budget"))
+    upto = Window.partitionBy(*parents).orderBy(F.col("supply") / F.col(weight), name).rowsBetween(Window.unboundedPreceding, 0)
     all_ = Window.partitionBy(*parents)
     out = nodes.withColumns({"s": F.sum("supply").over(upto), "w": F.sum(weight).over(upto), "every": F.sum(weight).over(all_)})
-    out = out.withColumn("short", F.col("s") + ratio * (F.col("every") - F.col("w")) <= F.col("parent_budget"))
+    out = out.withColumn("short", whole(F.col("s")) * each + supply * whole(F.col("every") - F.col("w")) <= total * each)
     out = out.withColumns({"given": F.coalesce(F.sum(F.when(F.col("short"), F.col("supply"))).over(all_), F.lit(0)), "gone": F.coalesce(F.sum(F.when(F.col("short"), F.col(weight))).over(all_), F.lit(0))})
-    level = (F.col("parent_budget") - F.col("given")) / (F.col("every") - F.col("gone"))
-    budget = F.when(F.col("short"), F.col("supply")).otherwise(F.least(F.col("supply"), F.floor(level * F.col(weight)).cast("long")))
-    return out.withColumn("budget", budget).drop("s", "w", "every", "short", "given", "gone")
+    left, parts = whole(F.col("parent_budget") - F.col("given")) * each, F.when(~F.col("short"), whole(F.col("every") - F.col("gone")))
+    out = out.withColumn("rest_", (left % parts).cast("long"))
+    out = out.withColumn("least", ((left - whole(F.col("rest_"))) / parts).cast("long"))
+    by_rest = Window.partitionBy(*parents).orderBy(F.col("short"), F.desc("rest_"), name)
+    out = out.withColumns({"more": F.col("parent_budget") - F.col("given") - F.sum("least").over(all_), "n_": F.row_number().over(by_rest)})
+    budget = F.when(F.col("short"), F.col("supply")).otherwise(F.col("least") + (F.col("n_") <= F.col("more")).cast("long"))
+    return out.withColumn("budget", budget).drop("s", "w", "every", "short", "given", "gone", "rest_", "least", "more", "n_")
 
 
 def budgets(leaves: DataFrame, levels: list[str], weights: list[Column], target: Column, max_epochs: int) -> DataFrame:
@@ -163,9 +174,11 @@ c{k} as (select {cols}, sum(supply) as supply, {weights[k]} as weight from leaf
 j{k} as (select {up}, c.supply, c.weight, p.budget as b from c{k} c join b{k} p on {on}),
 f{k} as (select *, sum(supply) over ({part} order by supply / weight, {levels[k]} rows unbounded preceding) as s, sum(weight) over ({part} order by supply / weight, {levels[k]} rows unbounded preceding) as w,
   sum(weight) over ({part}) as every from j{k}),
-g{k} as (select *, s + supply / weight * (every - w) <= b as short from f{k}),
+g{k} as (select *, cast(s as hugeint) * weight + cast(supply as hugeint) * cast(every - w as hugeint) <= cast(b as hugeint) * weight as short from f{k}),
 h{k} as (select *, coalesce(sum(supply) filter (short) over ({part}), 0) as given, coalesce(sum(weight) filter (short) over ({part}), 0) as gone from g{k}),
-b{k + 1} as (select {cols}, cast(case when short then supply else least(supply, floor((b - given) / (every - gone) * weight)) end as bigint) as budget from h{k})"""
+i{k} as (select *, case when not short then cast(b - given as hugeint) * weight // cast(every - gone as hugeint) end as low, case when not short then cast(b - given as hugeint) * weight % cast(every - gone as hugeint) end as rem from h{k}),
+n{k} as (select *, b - given - sum(low) over ({part}) as more, row_number() over ({part} order by short, rem desc, {levels[k]}) as n from i{k}),
+b{k + 1} as (select {cols}, cast(case when short then supply else low + case when n <= more then 1 else 0 end end as bigint) as budget from n{k})"""
     return sql + f""",
 q as (select leaf.domain, leaf.lang, leaf.source, cast(tokens as bigint) as all_tokens, budget // cast(tokens as bigint) as epochs, budget % cast(tokens as bigint) as rest from leaf join b3 using (domain, lang, source)),
 o as (select u.*, epochs, rest, cast('0x' || substr(md5(concat_ws(':', '{seed}', epochs, coalesce(cast(doc_id as varchar), 'null'))), 1, 15) as bigint) as o from u join q using (domain, lang, source)),
