@@ -3,8 +3,10 @@
 Spans come from patterns: ``split`` gives the lengths of the gaps between matches, and a running sum over
 a text's gaps and matches gives places, in code points. A candidate's value is then looked up over the
 whole corpus by hash: by how many distinct repositories and owners hold it. A value that ``WIDE`` or more
-owners hold is a copied example; one that a single owner holds, and that looks random, is a live
-credential. The method also finds live values where they stand bare, without a name before them.
+owners hold is a copied example; one that a single owner holds, in ``FEW`` repositories at most, and that looks
+random, is a live credential. What one owner has copied through many repositories is neither. The method also
+finds values where they stand bare, without a name before them. Owners are sources; a document counts as a
+repository of its own where no column tells more.
 
 Counting goes over distinct (value, owner, repository) rows made before the shuffle, and lookups join
 tables on disk, so that Spark can split a value that a third of all rows hold.
@@ -32,6 +34,8 @@ PATTERNS = {
 LEAST_VALUE = 6
 #: A value that so many owners hold is an example.
 WIDE = 3
+#: A value that more repositories hold isn't live, even if they are of one owner.
+FEW = 10
 #: A live-looking value has so many characters, and so many different ones.
 LIVE_CHARS, LIVE_KINDS = 16, 8
 
@@ -53,7 +57,7 @@ def looks_live(value: Column) -> Column:
     return (F.length(value) >= LIVE_CHARS) & (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_KINDS) & value.rlike("[0-9]")
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> tuple[DataFrame, DataFrame]:
+def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "doc_id")) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id, text_h) of ``docs`` and their spans (row, kind_no, kind, start, end, verdict).
 
     verdict: "example", "live" or "other". Owner and repository columns may be null: null is one owner.
@@ -83,7 +87,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = (
     holders = found.groupBy("h", "value_sha", "owner", "repository").agg(F.max("random").alias("random"), F.min("kind_no").alias("first"))
     owners = holders.groupBy("h", "value_sha", "owner").agg(F.count("*").alias("n"), F.max("random").alias("random"), F.min("first").alias("first"))
     verdicts = owners.groupBy("h", "value_sha").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"), F.max("random").alias("random"), F.min("first").alias("first"))
-    verdict = F.when(F.col("n_owners") >= WIDE, "example").when((F.col("n_owners") == 1) & F.col("random"), "live").otherwise("other")
+    verdict = F.when(F.col("n_owners") >= WIDE, "example").when((F.col("n_owners") == 1) & (F.col("n_repositories") <= FEW) & F.col("random"), "live").otherwise("other")
     verdicts = cut(verdicts.select("h", "value_sha", "n_owners", "n_repositories", "first", verdict.alias("verdict")))
     spans = found.join(verdicts, ["h", "value_sha"])
     # Bare runs count only where the same value is a credential elsewhere.
@@ -92,8 +96,10 @@ def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = (
     return rows.select("row", "doc_id", "text_h"), spans.select("row", "kind_no", name.alias("kind"), "start", "end", "verdict", "n_owners", "n_repositories")
 
 
-def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_bare, n_live, n_example.
+def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "doc_id")) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_bare, n_live, n_example, holders.
+
+    holders: for each span, in the order of spans, owners/repositories that hold its value.
 
     Null and empty texts have no spans. Rows that repeat a doc_id are scanned each for itself; other columns
     than doc_id, text and those of owner and repository are ignored.
@@ -101,25 +107,25 @@ def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...]
     rows, spans = scan(docs, owner, repository)
     label = F.concat_ws(":", "kind", "start", "end")
     listed = spans.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind_no", "end", label.alias("label")))).alias("all"),
+        F.sort_array(F.collect_list(F.struct("start", "kind_no", "end", label.alias("label"), F.concat_ws("/", "n_owners", "n_repositories").alias("held")))).alias("all"),
         *[F.sum((F.col("kind_no") == k).cast("long")).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         *[F.sum((F.col("verdict") == v).cast("long")).alias(f"n_{v}") for v in ("live", "example")],
     )
     base = F.array_join(F.transform(F.filter("all", lambda x: x["kind_no"] < 3), lambda x: x["label"]), ",")
     counts = ["n_assign", "n_access", "n_hex", "n_bare", "n_live", "n_example"]
-    listed = listed.select("row", *counts, base.alias("base"), F.array_join(F.transform("all", lambda x: x["label"]), ",").alias("spans"))
+    listed = listed.select("row", *counts, base.alias("base"), F.array_join(F.col("all")["label"], ",").alias("spans"), F.array_join(F.col("all")["held"], ",").alias("holders"))
     out = rows.join(listed, "row", "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in counts}
     return out.select(
         "doc_id", *[zero[c].alias(c) for c in counts[:3]], F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
-        F.coalesce("spans", F.lit("")).alias("spans"), *[zero[c].alias(c) for c in counts[3:]],
+        F.coalesce("spans", F.lit("")).alias("spans"), *[zero[c].alias(c) for c in counts[3:]], F.coalesce("holders", F.lit("")).alias("holders"),
     )
 
 
 MASK = "[SECRET]"
 
 
-def redact(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+def redact(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "doc_id")) -> DataFrame:
     """``docs`` with each credential that isn't a widely copied example replaced by ``MASK``, in columns text and n_chars.
 
     Spans that overlap or touch become one mask. Documents without credentials stay as they are.
@@ -165,7 +171,7 @@ _DUCK = {
 
 OP5_SQL = (
     "with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t, coalesce(source, '') as owner, "
-    "coalesce(source, '') || '/' || coalesce(lang, '') as repository from documents), k as ("
+    "coalesce(source, '') || '/' || coalesce(cast(doc_id as varchar), '') as repository from documents), k as ("
     + " union all ".join(
         f"select rid, owner, repository, {no} as kind_no, '{kind}' as kind, regexp_extract_all(t, '{p}', 0) as m, "
         f"regexp_extract_all(t, '{p}', {2 if kind == 'assign' else 0}) as v, string_split_regex(t, '{p}') as g from d where regexp_matches(t, '{p}')"
@@ -177,14 +183,15 @@ q as (select rid, owner, repository, kind_no, kind, cast(fin - length(m) as bigi
   where (kind_no <> 0 or length(v) >= {LEAST_VALUE}) and (kind_no <> 3 or regexp_matches(v, '[0-9]'))),
 r as (select *, max(case when kind_no < 3 then fin end) over (partition by rid order by s, kind_no, fin rows between unbounded preceding and current row) as reach from q),
 f as (select *, length(v) >= {LIVE_CHARS} and len(list_distinct(string_split(v, ''))) >= {LIVE_KINDS} and regexp_matches(v, '[0-9]') as random from r where kind_no < 3 or reach is null or reach < fin),
-w as (select v, count(distinct owner) as n_owners, bool_or(random) as random, min(kind_no) as first from f group by v),
+w as (select v, count(distinct owner) as n_owners, count(distinct repository) as n_repositories, bool_or(random) as random, min(kind_no) as first from f group by v),
 x as (select f.rid, f.kind_no, f.s, f.fin, f.kind || ':' || f.s || ':' || f.fin as label,
-  case when n_owners >= {WIDE} then 'example' when n_owners = 1 and w.random then 'live' else 'other' end as verdict
+  n_owners || '/' || n_repositories as held, case when n_owners >= {WIDE} then 'example' when n_owners = 1 and n_repositories <= {FEW} and w.random then 'live' else 'other' end as verdict
   from f join w using (v) where f.kind_no < 3 or w.first < 3),
 y as (select rid, count(*) filter (kind_no = 0) as n_assign, count(*) filter (kind_no = 1) as n_access, count(*) filter (kind_no = 2) as n_hex, count(*) filter (kind_no = 3) as n_bare,
   count(*) filter (verdict = 'live') as n_live, count(*) filter (verdict = 'example') as n_example,
-  string_agg(label, ',' order by s, kind_no, fin) filter (kind_no < 3) as base, string_agg(label, ',' order by s, kind_no, fin) as spans from x group by rid)
+  string_agg(label, ',' order by s, kind_no, fin) filter (kind_no < 3) as base, string_agg(label, ',' order by s, kind_no, fin) as spans,
+  string_agg(held, ',' order by s, kind_no, fin) as holders from x group by rid)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
-  coalesce(spans, '') as spans, coalesce(n_bare, 0) as n_bare, coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example
+  coalesce(spans, '') as spans, coalesce(n_bare, 0) as n_bare, coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example, coalesce(holders, '') as holders
 from d left join y using (rid)"""
 )
