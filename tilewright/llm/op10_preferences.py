@@ -61,18 +61,24 @@ def format_pairs(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def worse_reply(conversations: DataFrame) -> DataFrame:
-    """Pairs (conv_id, chosen, rejected): a conversation, and the same with its last reply taken from another one.
+    """Pairs (conv_id, chosen, rejected): a conversation, and the same up to one of its replies, with that one taken from another conversation.
 
-    Conversation 2 i lends its last reply to 2 i + 1 and the other way round; where the other one has none,
-    or doesn't exist, the reply is empty. A conversation without a reply is its own rejected one.
+    Which reply depends on conv_id (its number among the replies is conv_id modulo how many there are), so that
+    pairs part at different turns; the rejected conversation ends with it. Conversations 2 i and 2 i + 1 lend
+    each other their last replies; where the other one has none, or doesn't exist, the reply is empty. A
+    conversation without a reply is its own rejected one. A null conv_id counts as 0 here and borrows nothing.
     """
     turns = turns_of(conversations.select("conv_id", "turn", "role", "text"), "conv_id")
-    last = F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == LEARNED)), F.lit(True))
-    turns = turns.withColumn("at", F.when(last > 0, F.size("turns") - last).otherwise(-1).cast("int"))
-    lent = turns.where("at >= 0").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.get("turns", F.col("at"))["text"].alias("lent"))
+    places = F.filter(F.sequence(F.lit(0), F.size("turns") - 1), lambda i: F.get(F.col("turns"), i)["role"] == LEARNED)
+    turns = turns.withColumn("replies", places)
+    n = F.size("replies")
+    mine = F.get(F.col("replies"), F.pmod(F.coalesce(F.col("conv_id"), F.lit(0)).cast("long"), F.nullif(n.cast("long"), F.lit(0).cast("long"))).cast("int"))
+    turns = turns.withColumns({"at": F.coalesce(mine, F.lit(-1)), "last": F.get(F.col("replies"), n - 1)}).drop("replies")
+    lent = turns.where("last is not null").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.get("turns", F.col("last"))["text"].alias("lent"))
     out = turns.join(lent, "conv_id", "left")
     text = lambda t, i: F.when(i == F.col("at"), F.coalesce(F.col("lent"), F.lit(""))).otherwise(t["text"])
-    rejected = F.transform("turns", lambda t, i: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), text(t, i).alias("text")))
+    kept = F.when(F.col("at") >= 0, F.slice("turns", F.lit(1), F.col("at") + 1)).otherwise(F.col("turns"))
+    rejected = F.transform(kept, lambda t, i: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), text(t, i).alias("text")))
     return out.select("conv_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))
 
 
@@ -89,9 +95,10 @@ def _sql_side(side: str) -> str:
 
 
 OP10_SQL = f"""with a as (select conv_id, list({{'turn': turn, 'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as chosen from conversations group by conv_id),
-b as (select *, coalesce(list_max(list_filter(range(1, len(chosen) + 1), lambda i: chosen[i].role = '{LEARNED}')), 0) as pos from a),
-c as (select b.conv_id, b.chosen, b.pos, coalesce(o.chosen[o.pos].text, '') as lent from b left join b o on o.conv_id = xor(b.conv_id, 1) and o.pos > 0),
-d as (select conv_id, chosen, list_transform(range(1, len(chosen) + 1), lambda i: {{'turn': chosen[i].turn, 'role': chosen[i].role, 'text': case when i = pos then lent else chosen[i].text end}}) as rejected from c),
-e as (select *, cast(coalesce(list_min(list_filter(range(1, len(chosen) + 1), lambda i: chosen[i].text <> rejected[i].text)) - 1, len(chosen)) as integer) as n_common from d)
+b as (select *, list_filter(range(1, len(chosen) + 1), lambda i: chosen[i].role = '{LEARNED}') as replies from a),
+p as (select *, case when len(replies) > 0 then replies[coalesce(conv_id, 0) % len(replies) + 1] else 0 end as pos, case when len(replies) > 0 then replies[len(replies)] else 0 end as fin from b),
+c as (select p.conv_id, p.chosen, p.pos, coalesce(o.chosen[o.fin].text, '') as lent from p left join p o on o.conv_id = xor(p.conv_id, 1) and o.fin > 0),
+d as (select conv_id, chosen, list_transform(range(1, case when pos > 0 then pos else len(chosen) end + 1), lambda i: {{'turn': chosen[i].turn, 'role': chosen[i].role, 'text': case when i = pos then lent else chosen[i].text end}}) as rejected from c),
+e as (select *, cast(coalesce(list_min(list_filter(range(1, len(rejected) + 1), lambda i: chosen[i].text <> rejected[i].text)) - 1, len(rejected)) as integer) as n_common from d)
 select conv_id, n_common, coalesce(array_to_string(list_transform(chosen[1:n_common], lambda t: concat('{OPEN}', t.role, '|>', chr(10), t.text, '<|end|>', chr(10))), ''), '') as prompt,
 {_sql_side("chosen")}, {_sql_side("rejected")} from e"""
