@@ -1,15 +1,18 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
 A text's k-mers are runs of ``K`` words, each numbered by its occurrence in the text, so that a repeated
-k-mer counts as often as it stands. Each of ``ENTRIES`` hash functions parts the numbered k-mers into two
-strata and takes the minimal k-mer of each; the two, in the order in which they stand in the text, are
-hashed to one entry of the signature. Two texts agree in an entry if they share the minimal k-mers and
-their order, which is what makes the signature follow the edit distance rather than the mere sets.
-
-K-mers of a text are built and numbered in arrays of 64-bit values (the upper 40 bits of a hash, 24 bits
-of place), and the minima are taken by an aggregation over the exploded array, which Spark compiles.
-A single exchange deals out the documents in blocks of consecutive ids, in which the next document, its
-text and its fingerprint are found by windows; a block's first document is sent to the block before, too.
+k-mer counts as often as it stands; a text whose words are very long, as without white space, has runs of
+``K_CHARS`` code points instead. Each of ``ENTRIES`` hash functions puts the numbered k-mers into one order and
+takes two of them, its smallest and its largest (the smallest of the reversed order); the two, in the order in
+which they stand in the text, are hashed to one entry of the signature. Two texts agree in an entry if they
+share these k-mers and their order, which is what makes the signature follow the edit distance rather than the
+mere sets. (The two smallest of one order are as good a sample of two, but no aggregate function gives them.)
+
+K-mers of a text are built and numbered in arrays of 64-bit values (the upper 33 bits of a hash, 31 bits of
+place, as many as an array can have), and the extremes are taken by an aggregation over the exploded array,
+which Spark compiles. A single exchange deals out the documents in blocks of consecutive ids and about
+``BLOCK_BYTES``, in which the next document, its text and its fingerprint are found by windows; a block's first
+document is sent to the block before, too.
 """
 
 from __future__ import annotations
@@ -21,8 +24,13 @@ from pyspark.sql import functions as F
 
 from ._shared import table
 
-K, ENTRIES = 2, 32
-_PLACE = (1 << 24) - 1
+K, ENTRIES = 2, 64
+#: Code points of a k-mer of a text with fewer than one word in LONG_WORD code points.
+K_CHARS, LONG_WORD = 6, 32
+#: Bytes of texts in a block, and a bound for the number of blocks, whose first ids the driver holds.
+BLOCK_BYTES, MOST_BLOCKS = 16 << 20, 20_000
+_BITS = 31
+_PLACE = (1 << _BITS) - 1
 _WORDS = "[\\x20\\x09-\\x0D]+"
 
 
@@ -35,64 +43,57 @@ def _tagged(h: Column, place: Column) -> Column:
     return h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place)
 
 
-def _same(a: Column, b: Column) -> Column:
-    return F.coalesce(F.shiftright(a, 24) == F.shiftright(b, 24), F.lit(False))
-
-
 def numbered_kmers(text: Column, k: int = K) -> Column:
     """Array of long: for each k-mer a hash of it and of its occurrence number, tagged with its place.
 
-    A text of fewer than ``k`` words is one k-mer; a text without words has none.
+    A text of fewer than ``k`` words is one k-mer, a text without words has none, and one of long words has runs
+    of ``K_CHARS`` code points. The first occurrence has the k-mer's own hash.
     """
 
+    def runs(w: Column, k: int) -> Column:
+        shifted = [F.slice(w, j + 1, F.greatest(F.size(w) - k + 1, F.lit(0))) for j in range(k)]
+        if k == 2:
+            return F.zip_with(*shifted, lambda x, y: F.xxhash64(x, y))
+        return F.transform(shifted[0], lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, k)]))
+
     def of_words(w: Column) -> Column:
         n = F.size(w)
-        several = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))
-        return F.when(n >= k, several).when(n > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
-
-    def of_hashes(h: Column) -> Column:
-        # Beyond 2**24 k-mers places are scaled down: their order is kept, but for neighbours.
-        scale = F.greatest(F.lit(1), F.ceil(F.size(h) / F.lit(_PLACE))).cast("long")
-        return F.sort_array(F.transform(h, lambda x, i: _tagged(x, F.floor(i / scale).cast("long"))))
+        chars = _let(F.split(text, ""), lambda c: runs(c, K_CHARS))
+        return F.when((n > 0) & (F.length(text) > LONG_WORD * n), chars).when(n >= k, runs(w, k)).when(n > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
 
     def of_sorted(s: Column) -> Column:
-        repeated = lambda x, i: _same(x, F.get(s, i - 1)) | _same(x, F.get(s, i + 1))
-        once = F.transform(F.filter(s, lambda x, i: ~repeated(x, i)), lambda x: _tagged(F.xxhash64(F.shiftright(x, 24), F.lit(0)), x.bitwiseAND(F.lit(_PLACE))))
-        return F.concat(once, _let(F.filter(s, repeated), of_repeated))
+        again = F.filter(s, lambda x, i: F.coalesce(F.shiftright(x.bitwiseXOR(F.get(s, i - 1)), _BITS) == 0, F.lit(False)))
+        return _let(again, lambda d: F.when(F.size(d) == 0, s).otherwise(F.concat(F.array_except(s, d), of_repeated(d))))
 
     def of_repeated(d: Column) -> Column:
-        """Each one's number is its distance from the first of its run, found by a prefix maximum in log steps."""
-        begins = F.transform(d, lambda x, i: F.when(_same(x, F.get(d, i - 1)), F.lit(0)).otherwise(i))
+        """Each one's number is its distance from the first of its run, found by a prefix maximum in log steps, and 1."""
+        begins = F.transform(d, lambda x, i: F.when(F.shiftright(x.bitwiseXOR(F.get(d, i - 1)), _BITS) == 0, F.lit(0)).otherwise(i))
         rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(d) + 1)).cast("int"))
         first = F.aggregate(rounds, begins, lambda b, t: F.transform(b, lambda x, i: F.greatest(x, F.coalesce(F.get(b, i - F.pow(F.lit(2), t).cast("int")), F.lit(0)))))
-        return _let(first, lambda f: F.transform(d, lambda x, i: _tagged(F.xxhash64(F.shiftright(x, 24), i - F.get(f, i)), x.bitwiseAND(F.lit(_PLACE)))))
+        return _let(first, lambda f: F.transform(d, lambda x, i: _tagged(F.xxhash64(F.shiftright(x, _BITS), i - F.get(f, i) + 1), x.bitwiseAND(F.lit(_PLACE)))))
 
     words = F.filter(F.split(text, _WORDS), lambda w: w != "")
-    return _let(_let(_let(words, of_words), of_hashes), of_sorted)
+    tagged = _let(_let(words, of_words), lambda h: F.sort_array(F.transform(h, lambda x, i: _tagged(x, i.cast("long")))))
+    return _let(tagged, of_sorted)
 
 
-def order_minhash(rows: DataFrame, keys: list[str], kmers: str = "kmers") -> DataFrame:
-    """(keys, kmers) to (keys, sig): ``ENTRIES`` longs. Keys must tell rows apart."""
+def order_minhash(rows: DataFrame, keys: list[str], kmers: str = "kmers", entries: int = ENTRIES) -> DataFrame:
+    """(keys, kmers) to (keys, sig): ``entries`` longs. Keys must tell rows apart."""
     v = F.col("v")
-    minima, half = [], {}
-    for j in range(ENTRIES):
-        h = F.xxhash64(F.shiftright(v, 24), F.lit(j))
-        for s in (0, 1):
-            half[j, s] = f"m{j}_{s}"
-            minima.append(F.min(F.when(h.bitwiseAND(F.lit(1 << 24)) == s << 24, _tagged(h, v.bitwiseAND(F.lit(_PLACE))))).alias(half[j, s]))
-    least = rows.select(*keys, F.explode_outer(kmers).alias("v")).groupBy(*keys).agg(*minima)
-    entries = []
-    for j in range(ENTRIES):
-        a, b = (F.col(half[j, s]) for s in (0, 1))
-        x, y = (F.coalesce(F.shiftright(c, 24), F.lit(1 << 50)) for c in (a, b))
-        turned = F.coalesce(a.bitwiseAND(F.lit(_PLACE)) > b.bitwiseAND(F.lit(_PLACE)), F.lit(False))
-        entries.append(F.when(turned, F.xxhash64(y, x, F.lit(j))).otherwise(F.xxhash64(x, y, F.lit(j))))
-    return least.select(*keys, F.array(*entries).alias("sig"))
+    placed = [_tagged(F.xxhash64(F.shiftright(v, _BITS), F.lit(j)), v.bitwiseAND(F.lit(_PLACE))) for j in range(entries)]
+    least = rows.select(*keys, F.explode_outer(kmers).alias("v")).groupBy(*keys).agg(*[f(c).alias(f"{n}{j}") for j, c in enumerate(placed) for n, f in (("a", F.min), ("b", F.max))])
+    sig = []
+    for j in range(entries):
+        a, b = F.col(f"a{j}"), F.col(f"b{j}")
+        x, y = F.shiftright(a, _BITS), F.shiftright(b, _BITS)
+        turned = a.bitwiseAND(F.lit(_PLACE)) > b.bitwiseAND(F.lit(_PLACE))
+        sig.append(F.when(a.isNull(), F.xxhash64(F.lit(j))).when(turned, F.xxhash64(y, x, F.lit(j))).otherwise(F.xxhash64(x, y, F.lit(j))))
+    return least.select(*keys, F.array(*sig).alias("sig"))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal entries."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("double")), F.lit(0.0), lambda s, x: s + x) / ENTRIES
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("double")), F.lit(0.0), lambda s, x: s + x) / F.size(a)
 
 
 def as_text(sig: Column) -> Column:
@@ -127,7 +128,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     is its own next. A null text counts as empty; columns besides doc_id and text are ignored.
     """
     spark = docs.sparkSession
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = min(MOST_BLOCKS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES)))
     text = F.coalesce(F.col("text"), F.lit(""))
     order = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("long")
     block, is_first, before = _blocks(docs.select("doc_id"), order, n)
@@ -135,6 +137,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     places = F.when(F.col("is_first"), F.array(F.struct(F.col("block").alias("b"), F.lit(0).alias("guest")), F.struct(F.col("before").alias("b"), F.lit(1).alias("guest"))))
     rows = rows.select("doc_id", "text", "o", F.explode(F.coalesce(places, F.array(F.struct(F.col("block").alias("b"), F.lit(0).alias("guest"))))).alias("p"))
     rows = rows.select(F.col("p.b").alias("block"), F.col("p.guest").alias("guest"), "doc_id", "o", "text", F.xxhash64("text").alias("h"))
+    rows = rows.repartitionById(n, F.col("block"))
     in_block = Window.partitionBy("block").orderBy("guest", "o", "h", "text")
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("k", F.floor(F.col("n_chars") / 4).cast("int"))
