@@ -48,22 +48,42 @@ def test_shards(spark, small):
     want = {r.doc_id: tokens(r.text) for r in docs.collect()}
     out = fresh_path(spark, "shards")
     index = s.materialise(docs, out, length=128, per_shard=50).collect()
-    records = list(s.read_slots(out))
+    records = list(s.read_slots(spark, out))
     assert sorted(r.slot for r in index) == list(range(len(records)))
     got = defaultdict(dict)
     for r in index:
         body = records[r.slot]
-        assert zlib.crc32(body.tobytes()) == r.ids_crc32 and (r.shard, r.byte) == (r.slot // 50, r.slot % 50 * 256)
+        assert zlib.crc32(body.tobytes()) == r.ids_crc32 and (r.shard, r.byte) == (r.slot // 50, r.slot % 50 * 257)
         at = 0
         for x in r.pieces:
             got[x.doc_id][x.start] = body[at : at + x.length].tolist()
             at += x.length
         assert at == r.n_tokens and not body[at:].any()
     assert {d: [i for k in sorted(parts) for i in parts[k]] for d, parts in got.items()} == want
-    assert [a.tolist() for a in s.read_slots(out, 73, 60)] == [a.tolist() for a in records[73:133]]
+    assert [a.tolist() for a in s.read_slots(spark, out, 73, 60)] == [a.tolist() for a in records[73:133]]
     assert s.materialise(docs.limit(0), fresh_path(spark, "shards")).count() == 0
     odd = spark.createDataFrame([(*r, "x") for r in ODD], "doc_id long, text string, slot string").repartition(3).cache()
-    assert sum(r.n_tokens for r in s.materialise(odd, fresh_path(spark, "shards"), 64, 7).collect()) == sum(len(tokens(t)) for _, t in ODD)
+    out = fresh_path(spark, "shards")
+    index = s.materialise(odd, out, 64, 7).collect()
+    records = list(s.read_slots(spark, out))
+    got = defaultdict(int)
+    for r in index:
+        at = 0
+        for x in r.pieces:
+            got[x.doc_id] += x.length
+            at += x.length
+        assert at == r.n_tokens and not records[r.slot][at:].any() and zlib.crc32(records[r.slot].tobytes()) == r.ids_crc32
+    want = defaultdict(int)
+    for d, t in ODD:
+        want[d] += len(tokens(t))
+    assert got == want and sum(r.n_tokens for r in index) == sum(want.values())
+
+
+def test_wide_ids(spark):
+    """Ids that don't fit 16 bits stop the job rather than wrap."""
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(Exception, match="16 bits"):
+        s.materialise(docs, fresh_path(spark, "shards"), end_id=70_000)
 
 
 def check_packing(rows, docs, capacity):

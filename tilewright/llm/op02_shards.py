@@ -5,12 +5,13 @@ sequence is padded. Sequences are numbered through all splits, and a keyed Feist
 cycle-walking gives each number a global slot in 0 .. n - 1: the order of training, known without sorting.
 Slots are dealt out by ranges, and each range is written in order as one file of records of equal size. So
 slot s is in file s // per_shard, from byte (s % per_shard) * stride on, and reading can resume anywhere.
+
+Files are written and read by Spark's own access to stores, so any store that Spark writes to will do, and a
+shard appears when the job that writes it commits. A record is its ids and one byte that ends it.
 """
 
 from __future__ import annotations
 
-import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from .word_bpe import public_path, word_bpe
 
 LENGTH, PER_SHARD = 1024, 8192
 ROUNDS = 8
+#: Bytes of shards that one task writes, if not one shard is larger.
+TASK_BYTES = 64 << 20
 
 
 def feistel(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -55,7 +58,10 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) ->
         for a, b in row_chunks(offsets, 8 << 20):
             encoded = tokenizer.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             for doc_id, ids in zip(ids_of[a:b], encoded, strict=True):
-                yield doc_id, np.append(ids, end_id).astype("<u2")
+                ids = np.append(ids, end_id)
+                if ids.max() > 0xFFFF:
+                    raise ValueError("ids beyond 65535 don't fit the shards' 16 bits")
+                yield doc_id, ids.astype("<u2")
 
 
 def _counted(vocabulary: str, end_id: int):
@@ -69,11 +75,11 @@ def _counted(vocabulary: str, end_id: int):
 _PIECES = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32())]))
 
 
-def _sequences(vocabulary: str, end_id: int, length: int, first: dict[int, tuple[int, int]], total: int, key: int, per_shard: int):
-    """Texts to (slot, shard, ids, n_tokens, pieces). ``first``: each split's first number, and its tokens."""
+def _sequences(vocabulary: str, end_id: int, length: int, splits, total: int, key: int, per_shard: int):
+    """Texts to (slot, shard, ids, n_tokens, pieces). ``splits``: a broadcast of each split's first number and of its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, expected = first.get(TaskContext.get().partitionId(), (0, 0))
+        number, expected = (int(v[TaskContext.get().partitionId()]) for v in splits.value)
         body, pieces, filled, seen = np.zeros(length, "<u2"), [], 0, 0
         rows: list[tuple[bytes, int, list]] = []
 
@@ -110,94 +116,67 @@ def _sequences(vocabulary: str, end_id: int, length: int, first: dict[int, tuple
     return run
 
 
-def shard_name(shard: int) -> str:
-    return f"shard-{shard:06d}.bin"
-
-
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
-def _write(out_dir: str, stride: int, per_shard: int):
-    """Rows of whole shards, sorted by slot, to files; returns the index. A file appears under its name when complete."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _filesystem(out_dir)
-        context = TaskContext.get()
-        sink, open_, temporary = None, -1, ""
-
-        def close() -> None:
-            sink.close()
-            final = f"{root}/{shard_name(open_)}"
-            if files.get_file_info(final).is_file:  # of an earlier attempt, with the same bytes
-                files.delete_file(final)
-            files.move(temporary, final)
-
-        for batch in batches:
-            crc = []
-            for shard, ids in zip(batch.column("shard").to_pylist(), batch.column("ids"), strict=True):
-                if shard != open_:
-                    if sink:
-                        close()
-                    open_, temporary = shard, f"{root}/.{shard_name(shard)}-{context.taskAttemptId()}"
-                    sink = files.open_output_stream(temporary)
-                body = ids.as_buffer()
-                sink.write(body)
-                crc.append(zlib.crc32(body))
-            slot = batch.column("slot").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("slot"), batch.column("shard"), pa.array(slot % per_shard * stride), batch.column("n_tokens"), pa.array(crc, pa.int64()), batch.column("pieces").cast(_PIECES)],
-                ["slot", "shard", "byte", "n_tokens", "ids_crc32", "pieces"],
-            )
-        if sink:
-            close()
-
-    return run
+def shard_dir(out_dir: str, shard: int) -> str:
+    """The folder of a shard; it holds one file."""
+    return f"{out_dir}/shard={shard}"
 
 
 def materialise(docs: DataFrame, out_dir: str, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = 1, vocabulary: str = "public", end_id: int = 1) -> DataFrame:
-    """Writes the shards and a manifest to ``out_dir`` (a URI that all executors reach), and returns their index.
+    """Writes the shards to ``out_dir`` (any path that Spark can write) and a manifest beside them, and returns their index.
 
     The index has a row for each sequence: slot, shard, byte, n_tokens (the rest is padding, id 0), ids_crc32
-    (of the whole record) and pieces: doc_id, start (that document's ids before) and length, in order.
+    (of the record's ids) and pieces: doc_id, start (that document's ids before) and length, in order.
     ``docs`` must be a stable table, such as files: it is read twice, and a split that changed in between
     stops the job. A null or empty text is its end id alone; rows that repeat a doc_id are documents of
-    their own; an empty table gives a manifest and no shard. Vocabularies of up to 65536 ids.
+    their own; an empty table gives a manifest and no shard. Ids beyond 65535 raise ``ValueError``.
+
+    The driver gets a number for each input split, and sends two for each to the tasks; a task writes the
+    shards of a range of slots, about ``TASK_BYTES`` of them or one shard.
     """
     spark = docs.sparkSession
     source = texts(docs)
-    counts = {r.part: r.n for r in source.mapInArrow(_counted(vocabulary, end_id), "part int, n long").collect()}  # a row for each split
-    first, total = {}, 0
-    for part in sorted(counts):
-        first[part] = (total, counts[part])
-        total += -(-counts[part] // length)
-    files, root = _filesystem(out_dir)
-    files.create_dir(root, recursive=True)
-    rows = source.mapInArrow(_sequences(vocabulary, end_id, length, first, total, key, per_shard), "slot long, shard int, ids binary, n_tokens int, pieces array<struct<doc_id:long,start:long,length:int>>")
-    rows = rows.repartitionById(max(1, -(-total // per_shard)), F.col("shard")).sortWithinPartitions("slot")
-    index = cut(rows.mapInArrow(_write(out_dir, 2 * length, per_shard), "slot long, shard int, byte long, n_tokens int, ids_crc32 long, pieces array<struct<doc_id:long,start:long,length:int>>"))
+    counted = source.mapInArrow(_counted(vocabulary, end_id), "part int, n long").toPandas()
+    tokens = np.zeros(int(counted["part"].max()) + 1 if len(counted) else 1, np.int64)
+    tokens[counted["part"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    sequences = -(-tokens // length)
+    total, stride = int(sequences.sum()), 2 * length + 1
+    splits = spark.sparkContext.broadcast((np.cumsum(sequences) - sequences, tokens))
+    rows = source.mapInArrow(_sequences(vocabulary, end_id, length, splits, total, key, per_shard), "slot long, shard int, ids binary, n_tokens int, pieces array<struct<doc_id:long,start:long,length:int>>")
+    shards = max(1, -(-total // per_shard))
+    of_task = max(1, TASK_BYTES // (per_shard * stride))
+    rows = rows.repartitionById(-(-shards // of_task), F.floor(F.col("shard") / of_task).cast("int")).sortWithinPartitions("shard", "slot")
+    rows = cut(rows)
     release(spark)
-    with files.open_output_stream(f"{root}/manifest.json") as f:
-        f.write(json.dumps({"sequences": total, "length": length, "stride": 2 * length, "per_shard": per_shard, "key": key, "dtype": "<u2"}).encode())
-    return index
+    records = rows.select(F.col("ids").cast("string").alias("record"), "shard").sortWithinPartitions("shard")
+    records.write.mode("overwrite").option("lineSep", "\n").option("compression", "none").partitionBy("shard").text(out_dir)
+    spark.createDataFrame([(total, length, stride, per_shard, key, "<u2")], _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/_manifest")
+    byte = (F.col("slot") % per_shard) * stride
+    return rows.select("slot", "shard", byte.alias("byte"), "n_tokens", F.crc32("ids").alias("ids_crc32"), "pieces")
+
+
+_MANIFEST = "sequences long, length int, stride int, per_shard int, key long, dtype string"
 
 
-def read_slots(out_dir: str, start: int = 0, n: int | None = None, block: int = 1024) -> Iterator[np.ndarray]:
+def read_slots(spark: SparkSession, out_dir: str, start: int = 0, n: int | None = None, block: int = 1024) -> Iterator[np.ndarray]:
     """Records from slot ``start`` on, in training order; each shard is read in sequence from where it's needed."""
-    files, root = _filesystem(out_dir)
-    with files.open_input_file(f"{root}/manifest.json") as f:
-        m = json.loads(f.read())
-    stop = m["sequences"] if n is None else min(m["sequences"], start + n)
+    m = spark.read.parquet(f"{out_dir}/_manifest").first()
+    stop = m.sequences if n is None else min(m.sequences, start + n)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while start < stop:
-        shard, at = divmod(start, m["per_shard"])
-        here = min(stop - start, m["per_shard"] - at)
-        with files.open_input_file(f"{root}/{shard_name(shard)}") as f:
-            f.seek(at * m["stride"])
+        shard, at = divmod(start, m.per_shard)
+        here = min(stop - start, m.per_shard - at)
+        folder = jvm.org.apache.hadoop.fs.Path(shard_dir(out_dir, shard))
+        files = folder.getFileSystem(conf)
+        (file,) = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        stream = files.open(file)
+        try:
+            stream.seek(at * m.stride)
             for k in range(0, here, block):
-                raw = f.read(min(block, here - k) * m["stride"])
-                yield from np.frombuffer(raw, m["dtype"]).reshape(-1, m["length"])
+                some = min(block, here - k)
+                raw = np.frombuffer(bytes(jvm.org.apache.commons.io.IOUtils.readFully(stream, some * m.stride)), np.uint8).reshape(some, m.stride)
+                yield from np.ascontiguousarray(raw[:, :-1]).view(m.dtype)
+        finally:
+            stream.close()
         start += here
 
 
