@@ -6,6 +6,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tilewright.llm import op01_mix, op03_toxicity, op05_secrets, op08_fingerprint, op10_preferences, queries
@@ -87,7 +88,7 @@ def test_fingerprints(spark):
     prints = {}
     for r in got:
         prints.setdefault(r.fingerprint, set()).add(r.n_chars)
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and len(r.fingerprint) == 256
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and len(r.fingerprint) == 8 * op08_fingerprint.ENTRIES
     by = {r.doc_id: r for r in got}
     assert by[35].fingerprint == by[42].fingerprint and by[35].near_next == 1.0
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
@@ -102,15 +103,68 @@ def test_fingerprints(spark):
     assert one.edited_sha256 == hashlib.sha256(b"abcd efab").hexdigest() and one.near_next == 1.0
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of longs, ints and strings: each one seeds the next."""
+    out = 42
+    for kind, v in values:
+        raw = v.encode() if kind == "s" else v.to_bytes(8 if kind == "l" else 4, "little", signed=True)
+        out = xxhash.xxh64_intdigest(raw, out)
+        out -= (out >> 63) << 64
+    return out
+
+
+def plain_signature(text, entries):
+    """A signature from the definition: numbered k-mers, each function's order, its two ends in the order of the text."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    k = 2
+    if w and len(text) > 32 * len(w):
+        w, k = list(text), 6
+    grams = [w[i : i + k] for i in range(len(w) - k + 1)] or ([[" ".join(w)]] if w else [])
+    seen, numbered = {}, []
+    for g in grams:
+        top = spark_hash(*[("s", x) for x in g]) >> 31
+        c = seen[top] = seen.get(top, -1) + 1
+        numbered.append(top if c == 0 else spark_hash(("l", top), ("i", c)) >> 31)
+    sig = []
+    for j in range(entries):
+        if not numbered:
+            sig.append(spark_hash(("i", j)))
+            continue
+        order = sorted((spark_hash(("l", v), ("i", j)) >> 31, place) for place, v in enumerate(numbered))
+        x, y = order[0], order[-1]
+        if x[1] > y[1]:
+            x, y = y, x
+        sig.append(spark_hash(("l", x[0]), ("l", y[0]), ("i", j)))
+    return sig
+
+
+def test_signatures(spark):
+    """Fingerprints and likenesses against a plain version, on repeats, long words, one word and none."""
+    rng = np.random.default_rng(4)
+    texts = ["", " \n", "one", "a b", "a b " * 60, "a " * 50, "日本語" * 100, "x" * 500 + " y", "é😀 ß\tb  c", " ".join(f"w{k % 9}" for k in range(200))]
+    texts += [" ".join(f"v{rng.integers(0, 40)}" for _ in range(rng.integers(1, 120))) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in op08_fingerprint.fingerprints(df).collect()}
+    digits = lambda sig: "".join(f"{(x & (2**62 - 1)) | 2**62:016x}"[8:] for x in sig)
+    plain = [plain_signature(t, op08_fingerprint.ENTRIES) for t in texts]
+    for k, t in enumerate(texts):
+        after = texts[(k + 1) % len(texts)]
+        q = len(t) // 4
+        edited = plain_signature(t[: len(t) - q] + after[:q], op08_fingerprint.ENTRIES)
+        assert got[k].fingerprint == digits(plain[k]) and got[k].edited_fingerprint == digits(edited)
+        assert got[k].near_edited == np.mean([x == y for x, y in zip(plain[k], edited, strict=True)])
+        assert got[k].near_next == np.mean([x == y for x, y in zip(plain[k], plain[(k + 1) % len(texts)], strict=True)])
+
+
 def test_occurrences_are_numbered(spark):
     """The k-mers of a text with repeats, as many as it has, all different; and a prefix keeps those it shares."""
     kmers = lambda t: spark.createDataFrame([(t,)], "t string").select(op08_fingerprint.numbered_kmers(F.col("t")).alias("k")).first().k
     for text in ("a b " * 50, "a " * 40, "x y z", " ".join(f"w{k % 9}" for k in range(200))):
         w = text.split()
         got = kmers(text)
-        assert len({v >> 24 for v in got}) == len(w) - 1 and sorted(v & (2**24 - 1) for v in got) == list(range(len(w) - 1))
+        assert len({v >> 31 for v in got}) == len(w) - 1 and sorted(v & (2**31 - 1) for v in got) == list(range(len(w) - 1))
         some = kmers(" ".join(w[: len(w) // 2 + 1]))
-        assert {v >> 24 for v in some} < {v >> 24 for v in got}
+        assert {v >> 31 for v in some} < {v >> 31 for v in got}
 
 
 def test_preferences(spark):
@@ -118,9 +172,16 @@ def test_preferences(spark):
     df = spark.createDataFrame([(*r, "e") for r in rows], "conv_id long, turn long, role string, text string, prompt string")
     got = {r.conv_id: r for r in op10_preferences.format_pairs(op10_preferences.worse_reply(df), "conv_id").collect()}
     r = got[0]
-    assert (r.n_common, r.chosen, r.rejected) == (3, "<|assistant|>\na2<|end|>\n", "<|assistant|>\nyo<|end|>\n") and r.chosen_mask == r.rejected_mask == "14+10"
-    assert r.prompt == "<|user|>\nq<|end|>\n<|assistant|>\na1<|end|>\n<|user|>\nq2<|end|>\n"
-    assert got[4].n_common == 2 and got[4].chosen == "" and got[4].chosen_mask == "" and got[9].chosen == "" and got[8].chosen == ""
+    assert (r.n_common, r.prompt, r.rejected, r.rejected_mask) == (1, "<|user|>\nq<|end|>\n", "<|assistant|>\nyo<|end|>\n", "14+10")
+    assert r.chosen == "<|assistant|>\na1<|end|>\n<|user|>\nq2<|end|>\n<|assistant|>\na2<|end|>\n" and r.chosen_mask == "14+10,19+0,14+10"
+    turns = lambda *t: [(k, role, text) for k, (role, text) in enumerate(t)]
+    kind = "array<struct<turn:bigint,role:string,text:string>>"
+    a, b, c = ("user", "q"), ("assistant", LONG), ("assistant", "no")
+    pairs = spark.createDataFrame([(1, turns(a, b, a), turns(a, b)), (2, turns(a), turns(b, a)), (3, turns(a, b, a, c), turns(a, c, a, c)), (4, None, turns(a)), (5, turns(), None)], f"k int, chosen {kind}, rejected {kind}")
+    got2 = {r.k: r for r in op10_preferences.format_pairs(pairs, "k").collect()}
+    assert [got2[k].n_common for k in (1, 2, 3, 4, 5)] == [2, 0, 1, 0, 0] and got2[1].rejected == "" and got2[1].chosen == "<|user|>\nq<|end|>\n" and got2[5].prompt == ""
+    assert got2[3].chosen.count("<|end|>") == 3 and len(got2[1].prompt) > len(LONG)
+    assert got[4].n_common == 2 and got[4].chosen == "" and got[4].chosen_mask == "" and got[9].chosen == "" and got[8].chosen == "<|assistant|>\nz<|end|>\n" and got[8].rejected == ""
     assert op10_preferences.format_pairs(op10_preferences.worse_reply(df.limit(0)), "conv_id").count() == 0
 
 

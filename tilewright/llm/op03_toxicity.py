@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._numpy_text import text_bytes
-from ._shared import table, texts
+from ._shared import bound_batches, table, texts
 from .bigru import Model, train
 
 #: Bounds of the training sample.
@@ -68,6 +68,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, whole, whose score is under 0.5."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
