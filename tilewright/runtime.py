@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where that is unset, as in tests, a folder of this machine."""
+    """The session's ``spark.checkpoint.dir``; where that is unset and Spark runs in this process, as in tests, a folder of this machine."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return at or known.get()
+    if not at and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     at = at or "file://" + tempfile.mkdtemp(prefix="tilewright-")
     sc.setCheckpointDir(at)
     return at
