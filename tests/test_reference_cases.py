@@ -163,16 +163,27 @@ def test_preparation_text(spark):
 
 def test_projections(spark):
     """Against published and independently known values, and there and back."""
-    df = spark.createDataFrame([(-150.0, 70.0), (0.0, 0.0), (10.0, -45.5), (179.0, 80.0)], "x double, y double")
-    for code in crs.CODES:
-        there = df.select("x", "y", *[v.alias(n) for v, n in zip(crs.reproject(F.col("x"), F.col("y"), 4326, code), "ab", strict=True)])
-        for r in there.select("x", "y", *crs.reproject(F.col("a"), F.col("b"), f"EPSG:{code}", 4326)).collect():
-            if code != 3413 or r.y > 0:
-                assert abs((r[2] - r.x + 180) % 360 - 180) < 1e-7 and abs(r[3] - r.y) < 1e-7
+    df = spark.createDataFrame([(-150.0, 70.0), (0.0, 0.0), (10.0, -45.5), (179.0, 80.0)], "x double, y double").coalesce(1)
+    codes = [*[c for c in crs.CODES if c not in crs.UTM], 32601, 32633, 32760]
+    pairs = [F.struct(*[v.alias(n) for n, v in zip("xy", crs.reproject(*crs.reproject(F.col("x"), F.col("y"), 4326, c), f"EPSG:{c}", 4326), strict=True)]).alias(f"c{c}") for c in codes]
+    for r in df.select("x", "y", *pairs).collect():
+        for c in codes:
+            polar, utm = crs.POLAR.get(c), c in crs.UTM
+            if (polar and (r.y <= 0) == (polar[0] > 0)) or (utm and abs((r.x - (c % 100 * 6 - 183) + 180) % 360 - 180) > 30):
+                continue
+            got = r[f"c{c}"]
+            assert abs((got.x - r.x + 180) % 360 - 180) < 1e-7 and abs(got.y - r.y) < 1e-7, (c, r, got)
     at = lambda x, y, code: df.limit(1).select(*crs.reproject(F.lit(x), F.lit(y), 4326, code)).first()
     assert abs(at(180.0, 0.0, 6933)[0] - 17367530.445) < 0.01 and abs(at(0.0, 85.0445664, 6933)[1] - 7314540.83) < 2
     assert abs(at(180.0, 0.0, 3857)[0] - 20037508.342789) < 1e-5
     assert abs(at(-45.0, 70.0, 3413)[1] + 2187000) < 50000
+    assert np.allclose(at(15.0, 60.0, 32633), (500000, 6651411.190), atol=0.01) and np.allclose(at(15.0, 0.0, 32733), (500000, 1e7), atol=0.01)
+    assert np.allclose(at(0.0, 90.0, 5041), (2e6, 2e6), atol=1e-3) and np.allclose(at(0.0, -90.0, 5042), (2e6, 2e6), atol=1e-3)
+    for code, lat in ((3413, 70.0), (3995, 71.0), (3031, -71.0), (3976, -70.0)):  # true to scale there
+        (ax, ay), (bx, by) = (at(x, lat, code) for x in (20.0, 20.001))
+        parallel = np.radians(0.001) * crs.RADIUS * np.cos(np.radians(lat)) / np.sqrt(1 - crs.E2 * np.sin(np.radians(lat)) ** 2)
+        assert abs(np.hypot(bx - ax, by - ay) / parallel - 1) < 1e-6
+    assert at(90.0, 80.0, 3995)[0] > 1e6 and at(90.0, -80.0, 3031)[0] > 1e6 and at(0.0, -80.0, 3031)[1] > 1e6 > 0 > at(0.0, 80.0, 3995)[1]
     with pytest.raises(ValueError):
         crs.code("EPSG:9999")
 

@@ -77,6 +77,7 @@ PRJ_3413 = 'PROJCS["WGS_1984_NSIDC_Sea_Ice_Polar_Stereographic_North",GEOGCS["GC
 
 
 def test_prj():
+    assert vector.srid_of_prj('PROJCS["WGS_1984_UTM_Zone_6N",GEOGCS["x"]]') == 32606 and vector.srid_of_prj('PROJCS["WGS 84 / UTM zone 33S",GEOGCS["x"]]') == 32733
     assert vector.srid_of_prj(PRJ_3413) == 3413 and vector.srid_of_prj('GEOGCS["GCS_WGS_1984",DATUM["D"]]') == 4326 and vector.srid_of_prj("junk") is None
     assert vector.srid_of_prj('PROJCS["x",GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]],AUTHORITY["EPSG","3857"]]') == 3857
     assert vector.srid_of_prj('PROJCS["x",GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]],UNIT["m",1]]') is None

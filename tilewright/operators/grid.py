@@ -18,10 +18,14 @@ from ..functions import polygons as polygons_
 from ..functions.box import PREDICATES, Box, intersection, predicate, shares_area
 
 #: Tile matrix sets: CRS, bounds, and columns and rows at level 0 (OGC 17-083r2).
-_MERCATOR = 20037508.342789244
+_MERCATOR, _UPS = 20037508.342789244, 16440759.350252
 TILE_MATRIX_SETS = {
     "WGS1984Quad": {"crs": 4326, "bounds": (-180.0, -90.0, 180.0, 90.0), "columns": 2, "rows": 1},
+    "WorldCRS84Quad": {"crs": 4326, "bounds": (-180.0, -90.0, 180.0, 90.0), "columns": 2, "rows": 1},
     "WebMercatorQuad": {"crs": 3857, "bounds": (-_MERCATOR, -_MERCATOR, _MERCATOR, _MERCATOR), "columns": 1, "rows": 1},
+    "WorldMercatorWGS84Quad": {"crs": 3395, "bounds": (-_MERCATOR, -_MERCATOR, _MERCATOR, _MERCATOR), "columns": 1, "rows": 1},
+    "UPSArcticWGS84Quad": {"crs": 5041, "bounds": (2e6 - _UPS, 2e6 - _UPS, 2e6 + _UPS, 2e6 + _UPS), "columns": 1, "rows": 1},
+    "UPSAntarcticWGS84Quad": {"crs": 5042, "bounds": (2e6 - _UPS, 2e6 - _UPS, 2e6 + _UPS, 2e6 + _UPS), "columns": 1, "rows": 1},
 }
 ROW, COLUMN = "grid_row_index", "grid_column_index"
 HOWS = ("left", "right", "inner")

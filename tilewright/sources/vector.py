@@ -149,7 +149,8 @@ def read_gpkg(spark: SparkSession, path: str) -> DataFrame:
 PRJ_NAMES = {
     "wgs84/pseudomercator": 3857, "wgs1984webmercatorauxiliarysphere": 3857, "wgs84/worldmercator": 3395, "wgs1984worldmercator": 3395,
     "wgs84/nsidcease-grid2.0global": 6933, "wgs1984nsidcease-grid2.0global": 6933, "wgs84/nsidcseaicepolarstereographicnorth": 3413,
-    "wgs1984nsidcseaicepolarstereographicnorth": 3413, "gcswgs1984": 4326, "wgs84": 4326,
+    "wgs1984nsidcseaicepolarstereographicnorth": 3413, "wgs84/arcticpolarstereographic": 3995, "wgs1984arcticpolarstereographic": 3995,
+    "wgs84/antarcticpolarstereographic": 3031, "wgs1984antarcticpolarstereographic": 3031, "gcswgs1984": 4326, "wgs84": 4326,
 }
 
 
@@ -159,7 +160,10 @@ def srid_of_prj(text: str) -> int | None:
     if own:
         return int(own[1])
     name = re.match(r'\s*\w+\s*\[\s*"([^"]*)"', text)
-    return PRJ_NAMES.get(re.sub(r"[\s_]", "", name[1]).lower()) if name else None
+    plain = re.sub(r"[\s_]", "", name[1]).lower() if name else ""
+    if utm := re.fullmatch(r"wgs(?:84/|1984)utmzone(\d{1,2})([ns])", plain):
+        return 32600 + 100 * (utm[2] == "s") + int(utm[1])
+    return PRJ_NAMES.get(plain)
 
 
 def read_shp(spark: SparkSession, path: str, srid: int | None = None) -> DataFrame:
