@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .functions import crs, paths, registry, rings
+from .functions import crs, paths, polygons, registry, rings
 from .functions.box import PREDICATES, Box
 from .operators import cells, checks, dedup
 from .operators.grid import COLUMN, ROW, Grid, children, level_of, parent, tile_bounds
@@ -490,16 +490,36 @@ def hex_polygon_summary(spark, sf_dir):
     return cells.hex_summary(_cents(spark, sf_dir), HEX, ["cents"], ["cents"]).withColumn("mean_cents", F.round("mean_cents", 4))
 
 
-@query()
+def _hex_common(box: str) -> str:
+    """Area that hexagon (q, r) and a box share: the height of what they share is linear between the x at which a side begins to count."""
+    w, top, low = math.sqrt(3), "(r * 7.5e0 + 5)", "(r * 7.5e0 - 5)"
+    cx = f"((q + r / 2e0) * {5 * w!r}e0)"
+    at = lambda x: f"greatest(least({box}y1, {top} - abs({x} - {cx}) / {w!r}e0) - greatest({box}y0, {low} + abs({x} - {cx}) / {w!r}e0), 0)"
+    first, last = f"greatest({box}x0, {cx} - {2.5 * w!r}e0)", f"least({box}x1, {cx} + {2.5 * w!r}e0)"
+    turns = [cx, *[f"{cx} {sign} {w!r}e0 * {d}" for sign in "+-" for d in (f"({top} - {box}y1)", f"({top} - {box}y0)", f"({box}y0 - {low})", f"({box}y1 - {low})")]]
+    turns = ", ".join(f"greatest(least({t}, {last}), {first})" for t in turns)
+    xs = f"list_sort([{first}, greatest({last}, {first}), {turns}])"
+    return f"list_sum(list_transform(range(1, 11), lambda i: ({xs}[i + 1] - {xs}[i]) * ({at(f'{xs}[i]')} + {at(f'{xs}[i + 1]')}) / 2))"
+
+
+_HEX_AREAS = _HEX_BOX + f", sums as (select q, r, count(*) as _count, sum({_hex_common('f.')}) as area from every join f using (fid) group by q, r)"
+
+
+@query(_HEX_AREAS + " select q, r, _count, round(area, 6) as area_km2 from sums")
 def hex_polygon_areas(spark, sf_dir):
-    return cells.hex_summary(_cents(spark, sf_dir), HEX, with_area=True, unit=1.0)
+    out = cells.hex_summary(_cents(spark, sf_dir), HEX, with_area=True, unit=1.0)
+    return out.select("q", "r", "_count", F.round("area_km2", 6).alias("area_km2"))
 
 
-@query()
+@query(_HEX_AREAS + f""", land as (select q, r, sum({_hex_common('b.')}) as land from sums join {LAND} b on b.x0 < (q + r / 2e0) * {5 * math.sqrt(3)!r}e0 + {2.5 * math.sqrt(3)!r}e0
+and b.x1 > (q + r / 2e0) * {5 * math.sqrt(3)!r}e0 - {2.5 * math.sqrt(3)!r}e0 and b.y0 < r * 7.5e0 + 5 and b.y1 > r * 7.5e0 - 5 group by q, r)
+select q, r, _count, round(coalesce(land, 0), 6) as land_area_km2, round(greatest(least(coalesce(land, 0) / {HEX.area!r}e0, 1), 0), 6) as land_fraction,
+case when land > 0 then round(greatest(least(area / land, 1), 0), 6) end as land_coverage_fraction from sums left join land using (q, r)""")
 def hex_land_metrics(spark, sf_dir):
     summary = HEX.as_box(cells.hex_summary(_cents(spark, sf_dir), HEX, with_area=True, unit=1.0))
     shared = HEX.shared_area(F.col("a.q"), F.col("a.r"), Box("b."))
-    return cells.land_metrics(summary, fixtures.load(spark, sf_dir, "land"), ["q", "r"], F.lit(HEX.area), "area_km2", shared)
+    out = cells.land_metrics(summary, fixtures.load(spark, sf_dir, "land"), ["q", "r"], F.lit(HEX.area), "area_km2", shared)
+    return out.select("q", "r", "_count", *[F.round(c, 6).alias(c) for c in ("land_area_km2", "land_fraction", "land_coverage_fraction")])
 
 
 @query(f"""with c as (select * from {_CELLS}), s as (select c.{ROW}, c.{COLUMN}, sum((least(c.x1, t.x1) - greatest(c.x0, t.x0)) * (least(c.y1, t.y1) - greatest(c.y0, t.y0))) as land from c join {LAND} t
@@ -540,10 +560,14 @@ def reproject_3857(spark, sf_dir):
     return fixtures.load(spark, sf_dir, "pts").where("abs(y) < 85").select("fid", (F.round(x, 3) + 0.0).alias("mx"), (F.round(y, 3) + 0.0).alias("my"))
 
 
-@query()
+@query(f"select fid, cast(5 + cast((x1 - x0) / 64 > 0.05e0 as int) as int) as n_points, area + case when (x1 - x0) / 64 > 0.05e0 then (x1 - x0) * (x1 - x0) / 128 else 0 end as area from {FEAT}")
 def ring_simplify(spark, sf_dir):
-    out = _rings(spark, sf_dir).withColumn("rings", rings.simplified(F.col("rings"), 0.2))
-    return out.select("fid", F.size(F.get("rings", 0)).alias("n_points"), rings.area(F.col("rings")).alias("area"))
+    """Boxes with a corner a 64th of their width below their lower side, which goes if that is within the tolerance."""
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    x0, x1, y0, y1, cx = (F.col(c) for c in ("x0", "x1", "y0", "y1", "cx"))
+    shape = F.array(F.array(F.array(corner(x0, y0), corner(cx, y0 - (x1 - x0) / 64), corner(x1, y0), corner(x1, y1), corner(x0, y1), corner(x0, y0))))
+    out = staging.simplify(_feat(spark, sf_dir).withColumn("polygons", shape), 0.05)
+    return out.select("fid", F.size(F.get(F.get("polygons", 0), 0)).alias("n_points"), polygons.measures(F.col("polygons"))["area"].alias("area"))
 
 
 @query(f"select f.fid, t.{ROW}, t.{COLUMN}, round(greatest(least(f.x1, t.x1) - greatest(f.x0, t.x0), 0) * greatest(least(f.y1, t.y1) - greatest(f.y0, t.y0), 0) - greatest(least(f.x1, t.x1) - greatest(f.cx, t.x0), 0) * greatest(least(f.y1, t.y1) - greatest(f.cy, t.y0), 0), 6) as area from {FEAT} f join {_CELLS} t on {_AREA}")
