@@ -103,6 +103,8 @@ def test_measures_and_boxes(spark):
     assert left.where(F.abs(p.measures(F.col("polygons"))["area"] - F.col("area")) > 1e-9).isEmpty()
     assert grid.overlay(df, "union").where("fid is null").agg(F.sum("area")).first() == left.agg(F.sum("area")).first()
     assert grid.overlay(df, as_index=True).columns[:2] == [ROW, COLUMN]
+    points = spark.createDataFrame([(0.5, 0.5, 1)], "x double, y double, k int")
+    assert grid.sjoin_points(points, as_index=True).columns == [ROW, COLUMN, "x", "y", "k"] and grid.sjoin_points(points, as_tile=3).columns[-1] == "tile"
 
 
 def test_tiles_of_polygons(spark):
@@ -183,6 +185,20 @@ def test_wkb_and_cells(spark):
     assert measured.count() == 2
 
 
+def test_plot():
+    class Axes:
+        def __init__(self):
+            self.lines = []
+
+        def vlines(self, *a, **how):
+            self.lines.append(a)
+
+        hlines = vlines
+
+    ax = Grid((0, 0, 4, 2), 2, 2).plot(Axes(), color="k")
+    assert ax.lines == [([0, 2, 4], 0, 2), ([0, 1, 2], 0, 4)]
+
+
 def test_path_helpers(spark):
     t = paths.TilePaths("WGS1984Quad")
     r = spark.range(1).select(t.parent_path(F.lit("/a/vec/WGS1984Quad/5/10/13.gpkg")), t.child_paths(F.lit("/a/vec/WGS1984Quad/5/10/13.gpkg")), t.parent_path(F.lit("/a/vec/WGS1984Quad/0/1/0.gpkg"))).first()

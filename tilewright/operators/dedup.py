@@ -158,7 +158,10 @@ def deduplicate_neighbors(
         working = working.withColumn("m_", polygons_.measures(F.col(polygons_.COLUMN))).withColumns({AREA: F.col("m_.area"), "cx_": F.col("m_.x"), "cy_": F.col("m_.y")}).drop("m_")
     else:
         working = working.withColumn(AREA, box.area)
-    pairs = box_join(working, working, bin_size(working), shares_area, partition_by, F.col(f"a.{split_by}") < F.col(f"b.{split_by}"))
+    # The last group is never the earlier one of a pair, nor the first one the later: of two groups each is on one side only.
+    group = F.col(split_by)
+    low, high = working.agg(F.min(group), F.max(group)).first()
+    pairs = box_join(working.where(group < high), working.where(group > low), bin_size(working), shares_area, partition_by, F.col(f"a.{split_by}") < F.col(f"b.{split_by}"))
     # What needs no polygons goes first.
     if centroid_tolerance is not None:
         target = crs if distance_crs is None else distance_crs
@@ -186,8 +189,7 @@ def deduplicate_neighbors(
     # Within a partition a key is a feature, and across partitions it is several.
     of = lambda side: F.struct(*[F.col(f"a.{p}").alias(p) for p in partition_by], F.col(f"{side}.{key}").alias(key)) if partition_by else F.col(f"{side}.{key}")
     loser = F.when(b_loses, of("b")).otherwise(of("a")).alias("loser")
-    groups = working.select(split_by).distinct().limit(3).count()
-    if groups < 3:  # one turn: all pairs act
+    if working.where((group > low) & (group < high)).isEmpty():  # two groups are one turn: all pairs act
         removed = pairs.select(loser)
     else:
         turn = F.struct(F.col(f"a.{split_by}").alias("g1"), F.col(f"b.{split_by}").alias("g2")).alias("turn")

@@ -146,16 +146,26 @@ class Grid:
         if name not in PREDICATES:
             raise ValueError(f"predicate must be one of {PREDICATES}")
 
-    def sjoin_points(self, points: DataFrame, how: str = "left", x: str = "x", y: str = "y", crs: int | str | None = None) -> DataFrame:
+    def plot(self, ax=None, **how):
+        """Draws the cells' sides with matplotlib, where that is installed; returns the axes. ``how`` goes to its line collections."""
+        if ax is None:
+            import matplotlib.pyplot as plt
+
+            ax = plt.gca()
+        ax.vlines(self.col_fences, self.miny, self.maxy, **how)
+        ax.hlines(self.row_fences, self.minx, self.maxx, **how)
+        return ax
+
+    def sjoin_points(self, points: DataFrame, how: str = "left", x: str = "x", y: str = "y", crs: int | str | None = None, as_index: bool = False, as_tile: int | None = None) -> DataFrame:
         """Points with their cell. ``left`` and ``inner`` both keep points without a cell; ``right`` gives each
-        cell, as a box, with the attributes of its points, and cells without points once."""
+        cell, as a box, with the attributes of its points, and cells without points once. Options as for ``sjoin``."""
         self._check(how, "intersects")
         px, py = (F.col(x), F.col(y)) if crs is None else crs_.reproject(F.col(x), F.col(y), crs, self.crs)
         row, col = self.indices_from_xy(px, py)
         out = points.withColumns({ROW: row, COLUMN: col})
-        if how != "right":
-            return out
-        return self.cells(points.sparkSession).join(out.drop(x, y), [ROW, COLUMN], "left")
+        if how == "right":
+            out = self.cells(points.sparkSession).join(out.drop(x, y), [ROW, COLUMN], "left")
+        return self._labelled(out, as_tile, as_index)
 
     def candidates(self, boxes: DataFrame) -> DataFrame:
         """Boxes once for each cell that they meet (closed), with the cell's place ``kx``, ``ky`` from the south-west.
