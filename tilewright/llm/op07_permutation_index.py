@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from ._shared import cut, table
 
-#: Pivots: so many, and with very many vectors (square root of their number) / 4, up to the second.
-PIVOTS, MOST_PIVOTS = 256, 2048
+#: Pivots: so many, and with very many vectors (square root of their number) / 4, as long as they have so many bytes at most.
+PIVOTS, PIVOT_BYTES = 256, 64 << 20
 #: Nearest pivots that a vector is posted under, and that a query reads.
 POSTED = 16
 #: So many of the longest vectors, at most one of 16, are in the file that every query reads.
@@ -120,7 +120,7 @@ def nearest(vectors: DataFrame, is_query, n: int = 20) -> DataFrame:
     count = entries.count()
     square = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
     long = entries.select(square.alias("s")).orderBy(F.desc("s")).limit(1 + min(LONGEST, count // 16)).agg(F.min("s")).first()[0]
-    pivots = _pivots(entries, max(PIVOTS, min(MOST_PIVOTS, math.isqrt(count) // 4)))
+    pivots = _pivots(entries, max(PIVOTS, min(PIVOT_BYTES // (8 * width.w), math.isqrt(count) // 4)))
     kinds = "vec_id long, vector binary, is_query boolean, near array<int>, qnear array<int>"
     index = cut(entries.select("vec_id", "vector", "is_query", (square > F.lit(long)).alias("is_long")).mapInPandas(_orders(pivots), kinds))
     n_files = len(pivots) + 1
