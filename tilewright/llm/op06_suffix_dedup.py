@@ -304,3 +304,19 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+#: The definition itself: every window of 200 bytes, as hexadecimal text, counted; no anchors, no suffix arrays.
+OP6_SQL = """with b as (select row_number() over () as rid, doc_id, encode(coalesce(text, '')) as t from documents),
+h as (select rid, doc_id, octet_length(t) as n, lower(hex(t)) as x from b),
+s as (select rid, unnest(range(0, greatest(n - 199, 0))) as i, x from h),
+m as (select rid, i, md5_number(substr(x, 2 * i + 1, 400)) as k from s),
+d as (select k from m group by k having count(*) > 1),
+c as (select m.rid, m.i from m semi join d using (k)),
+g as (select rid, i, case when i <= lag(i) over (partition by rid order by i) + 200 then 0 else 1 end as new from c),
+q as (select rid, i, sum(new) over (partition by rid order by i) as run from g),
+v as (select rid, run, min(i) as a, max(i) + 200 as z from q group by rid, run),
+o as (select rid, a, z, coalesce(lag(z) over (partition by rid order by a), 0) as before, row_number() over (partition by rid order by a desc) as last from v),
+y as (select h.rid, count(*) as n_spans, sum(z - a) as n_removed, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a) || max(case when last = 1 then substr(x, 2 * z + 1) end) as rest
+  from o join h using (rid) group by h.rid)
+select h.doc_id, cast(n as bigint) as n_bytes, coalesce(cast(n_removed as bigint), 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(rest, x))) as kept_sha256 from h left join y using (rid)"""
