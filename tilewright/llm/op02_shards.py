@@ -12,6 +12,7 @@ shard appears when the job that writes it commits. A record is its ids and one b
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from .word_bpe import public_path, word_bpe
 LENGTH, PER_SHARD = 1024, 8192
 ROUNDS = 8
 #: Bytes of shards that one task writes, if not one shard is larger.
-TASK_BYTES = 64 << 20
+TASK_BYTES = 32 << 20
 
 
 def feistel(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -64,54 +65,78 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) ->
                 yield doc_id, ids.astype("<u2")
 
 
-def _counted(vocabulary: str, end_id: int):
+def _streamed(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, length: int) -> Iterator[tuple[tuple, tuple, int, int, np.ndarray]]:
+    """For each batch of a split: its documents' ids and numbers of tokens, the tokens before them, and the sequences
+    that end in it: the first one's number and all their ids. At last the padded one, where tokens are left."""
+    left, before = np.zeros(0, "<u2"), 0
+    for batch in batches:
+        found = list(_encoded(iter([batch]), vocabulary, end_id))
+        counts = tuple(len(ids) for _, ids in found)
+        ids = np.concatenate([left, *[ids for _, ids in found]])
+        whole = len(ids) // length * length
+        yield tuple(d for d, _ in found), counts, before, before // length, ids[:whole]
+        left, before = ids[whole:], before + sum(counts)
+    if len(left):
+        yield (), (), before, before // length, np.append(left, np.zeros(length - len(left), "<u2"))
+
+
+_COUNTED = "part int, before long, n long, doc_ids array<long>, counts array<long>, number long, crc array<long>"
+
+
+def _counted(vocabulary: str, end_id: int, length: int):
+    """Texts to a row for each batch: what ``_streamed`` gives, with the sequences' checksums instead of them."""
+    lists = pa.list_(pa.int64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(ids) for _, ids in _encoded(batches, vocabulary, end_id))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
+        part = TaskContext.get().partitionId()
+        for doc_ids, counts, before, number, ids in _streamed(batches, vocabulary, end_id, length):
+            crc = [zlib.crc32(ids[k : k + length]) for k in range(0, len(ids), length)]
+            row = ([part], pa.int32()), ([before], pa.int64()), ([sum(counts)], pa.int64()), ([doc_ids], lists), ([counts], lists), ([number], pa.int64()), ([crc], lists)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in row], [c.split()[0] for c in _COUNTED.split(", ")])
 
     return run
 
 
-_PIECES = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32())]))
+def _pieces(splits, length: int, total: int, key: int):
+    """Rows of ``_counted`` to rows of slots: with offset, doc_id, start and length of a document's piece, or with the checksum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["slot", "offset", "doc_id", "start", "length", "crc"]
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, n, crc = (batch.column(c)[k].values for c in ("doc_ids", "counts", "crc"))
+                n, first = np.asarray(n), splits.value[0][batch.column("part")[k].as_py()]
+                end = batch.column("before")[k].as_py() + np.cumsum(n)
+                begin = end - n
+                many = (end - 1) // length - begin // length + 1
+                doc = np.repeat(np.arange(len(n)), many)
+                number = np.repeat(begin // length, many) + np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                low, high = np.maximum(begin[doc], number * length), np.minimum(end[doc], (number + 1) * length)
+                columns = [pa.array((low - number * length).astype(np.int32)), ids.take(pa.array(doc)), pa.array(low - begin[doc]), pa.array((high - low).astype(np.int32)), pa.nulls(len(doc), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(feistel(number + first, total, key)), *columns], names)
+                slots = feistel(np.arange(len(crc)) + batch.column("number")[k].as_py() + first, total, key)
+                none = [pa.nulls(len(crc), c.type) for c in columns[:4]]
+                yield pa.RecordBatch.from_arrays([pa.array(slots), *none, crc], names)
+
+    return run
 
 
 def _sequences(vocabulary: str, end_id: int, length: int, splits, total: int, key: int, per_shard: int):
-    """Texts to (slot, shard, ids, n_tokens, pieces). ``splits``: a broadcast of each split's first number and of its tokens."""
+    """Texts to (slot, shard, ids). ``splits``: a broadcast of each split's first number and of its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, expected = (int(v[TaskContext.get().partitionId()]) for v in splits.value)
-        body, pieces, filled, seen = np.zeros(length, "<u2"), [], 0, 0
-        rows: list[tuple[bytes, int, list]] = []
-
-        def batch_of() -> pa.RecordBatch:
-            slots = feistel(np.arange(number - len(rows), number), total, key)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], _PIECES)],
-                ["slot", "shard", "ids", "n_tokens", "pieces"],
-            )
-
-        for doc_id, ids in _encoded(batches, vocabulary, end_id):
-            seen += len(ids)
-            start = 0
-            while start < len(ids):
-                take = min(length - filled, len(ids) - start)
-                body[filled : filled + take] = ids[start : start + take]
-                pieces.append({"doc_id": doc_id, "start": start, "length": take})
-                start, filled = start + take, filled + take
-                if filled == length:
-                    rows.append((body.tobytes(), length, pieces))
-                    number, filled, pieces = number + 1, 0, []
-                    if len(rows) == 2048:
-                        yield batch_of()
-                        rows.clear()
+        part = TaskContext.get().partitionId()
+        first, expected = (int(v[part]) if part < len(v) else 0 for v in splits.value)  # splits without rows may come last
+        seen = 0
+        for _, counts, _, number, ids in _streamed(batches, vocabulary, end_id, length):
+            seen += sum(counts)
+            slots = feistel(np.arange(len(ids) // length) + number + first, total, key)
+            for k in range(0, len(slots), 2048):
+                some = slots[k : k + 2048]
+                raw = [ids[i * length : (i + 1) * length].tobytes() for i in range(k, k + len(some))]
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array((some // per_shard).astype(np.int32)), pa.array(raw, pa.binary())], ["slot", "shard", "ids"])
         if seen != expected:
             raise RuntimeError(f"a split held {expected} tokens when they were counted, and {seen} now: the input isn't stable, write it to a table first")
-        if filled:
-            body[filled:] = 0
-            rows.append((body.tobytes(), filled, pieces))
-            number += 1
-        if rows:
-            yield batch_of()
 
     return run
 
@@ -127,7 +152,7 @@ def materialise(docs: DataFrame, out_dir: str, length: int = LENGTH, per_shard:
     The index has a row for each sequence: slot, shard, byte, n_tokens (the rest is padding, id 0), ids_crc32
     (of the record's ids) and pieces: doc_id, start (that document's ids before) and length, in order.
     ``docs`` must be a stable table, such as files: it is read twice, and a split that changed in between
-    stops the job. A null or empty text is its end id alone; rows that repeat a doc_id are documents of
+    stops the job. ``out_dir`` must be new. A null or empty text is its end id alone; rows that repeat a doc_id are documents of
     their own; an empty table gives a manifest and no shard. Ids beyond 65535 raise ``ValueError``.
 
     The driver gets a number for each input split, and sends two for each to the tasks; a task writes the
@@ -135,23 +160,28 @@ def materialise(docs: DataFrame, out_dir: str, length: int = LENGTH, per_shard:
     """
     spark = docs.sparkSession
     source = texts(docs)
-    counted = source.mapInArrow(_counted(vocabulary, end_id), "part int, n long").toPandas()
-    tokens = np.zeros(int(counted["part"].max()) + 1 if len(counted) else 1, np.int64)
-    tokens[counted["part"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    counts = cut(source.mapInArrow(_counted(vocabulary, end_id, length), _COUNTED))
+    of_split = counts.groupBy("part").agg(F.sum("n").alias("n")).toPandas()
+    tokens = np.zeros(int(of_split["part"].max()) + 1 if len(of_split) else 1, np.int64)
+    tokens[of_split["part"].to_numpy(np.int64)] = of_split["n"].to_numpy(np.int64)
     sequences = -(-tokens // length)
     total, stride = int(sequences.sum()), 2 * length + 1
     splits = spark.sparkContext.broadcast((np.cumsum(sequences) - sequences, tokens))
-    rows = source.mapInArrow(_sequences(vocabulary, end_id, length, splits, total, key, per_shard), "slot long, shard int, ids binary, n_tokens int, pieces array<struct<doc_id:long,start:long,length:int>>")
-    shards = max(1, -(-total // per_shard))
-    of_task = max(1, TASK_BYTES // (per_shard * stride))
-    rows = rows.repartitionById(-(-shards // of_task), F.floor(F.col("shard") / of_task).cast("int")).sortWithinPartitions("shard", "slot")
-    rows = cut(rows)
-    release(spark)
-    records = rows.select(F.col("ids").cast("string").alias("record"), "shard").sortWithinPartitions("shard")
-    records.write.mode("overwrite").option("lineSep", "\n").option("compression", "none").partitionBy("shard").text(out_dir)
     spark.createDataFrame([(total, length, stride, per_shard, key, "<u2")], _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/_manifest")
+    shards = -(-total // per_shard)
+    if shards:
+        rows = source.mapInArrow(_sequences(vocabulary, end_id, length, splits, total, key, per_shard), "slot long, shard int, ids binary")
+        of_task = max(1, TASK_BYTES // (per_shard * stride))
+        rows = rows.repartitionById(-(-shards // of_task), F.floor(F.col("shard") / of_task).cast("int")).sortWithinPartitions("shard", "slot")
+        records = rows.select(F.col("ids").cast("string").alias("record"), "shard")
+        records.write.mode("append").option("lineSep", "\n").option("compression", "none").partitionBy("shard").text(out_dir)
+        release(spark)
+    found = counts.mapInArrow(_pieces(splits, length, total, key), "slot long, offset int, doc_id long, start long, length int, crc long")
+    piece = F.when(F.col("offset").isNotNull(), F.struct("offset", "doc_id", "start", "length"))
+    index = found.groupBy("slot").agg(F.sum("length").cast("int").alias("n_tokens"), F.max("crc").alias("ids_crc32"), F.sort_array(F.collect_list(piece)).alias("pieces"))
+    index = index.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
     byte = (F.col("slot") % per_shard) * stride
-    return rows.select("slot", "shard", byte.alias("byte"), "n_tokens", F.crc32("ids").alias("ids_crc32"), "pieces")
+    return cut(index.select("slot", "shard", byte.alias("byte"), "n_tokens", "ids_crc32", F.transform("pieces", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["start"].alias("start"), p["length"].alias("length"))).alias("pieces")))
 
 
 _MANIFEST = "sequences long, length int, stride int, per_shard int, key long, dtype string"
