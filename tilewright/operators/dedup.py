@@ -47,10 +47,16 @@ def normal(label: Column) -> Column:
 COARSER = 8.0
 
 
-def bin_size(boxes: DataFrame) -> float:
-    """Twice the mean extent: one small aggregation."""
-    w, h = boxes.agg(F.avg(F.col("x1") - F.col("x0")), F.avg(F.col("y1") - F.col("y0"))).first()
-    return 2 * max(w or 0.0, h or 0.0) or 1.0
+def bins_of(left: DataFrame, right: DataFrame) -> tuple[float, list[int]]:
+    """Size of the finest bins, twice the mean extent of ``left``, and which coarser ones there are: a small aggregation of each
+    side, and one more of their sizes if any box is larger than the finest bins."""
+    w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    found = [df.agg(F.avg(w), F.avg(h), F.max(F.greatest(w, h))).first() for df in ([left] if left is right else [left, right])]
+    size = 2 * max(found[0][0] or 0.0, found[0][1] or 0.0) or 1.0
+    if max(f[2] or 0.0 for f in found) <= size:
+        return size, [0]
+    sizes = [df.select(_level(size).alias("lv")) for df in (left, right)]
+    return size, sorted(r.lv for r in sizes[0].unionByName(sizes[1]).where("lv is not null").distinct().collect())  # a few numbers
 
 
 def _level(size: float) -> Column:
@@ -71,12 +77,11 @@ def _width(size: float, level: Column) -> Column:
     return F.lit(size) * F.pow(F.lit(COARSER), level)
 
 
-def box_join(left: DataFrame, right: DataFrame, size: float, test: Callable[[Box, Box], Column], on: Sequence[str] = (), extra: Column | None = None) -> DataFrame:
+def box_join(left: DataFrame, right: DataFrame, test: Callable[[Box, Box], Column], on: Sequence[str] = (), extra: Column | None = None) -> DataFrame:
     """Inner join of ``left`` (columns a.*) and ``right`` (b.*) on meeting boxes that pass ``test``."""
     a, b = Box("a."), Box("b.")
     c = intersection(a, b)
-    found = left.select(_level(size).alias("lv")) if left is right else left.select(_level(size).alias("lv")).unionByName(right.select(_level(size).alias("lv")))
-    levels = sorted(r.lv for r in found.where("lv is not null").distinct().collect()) or [0]  # a few numbers
+    size, levels = bins_of(left, right)
     width = _width(size, F.col("a.lv"))
     once = (F.col("a.bx") == F.floor(c["x0"] / width)) & (F.col("a.by") == F.floor(c["y0"] / width))
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("bx", "by", "lv", *on)]
@@ -94,12 +99,11 @@ def _shape(df: DataFrame, prefix: str) -> Column:
     return F.col(f"{prefix}{polygons_.COLUMN}") if polygons_.is_polygons(df) else polygons_.of_box(Box(prefix))
 
 
-def shape_join(left: DataFrame, right: DataFrame, method: str, on: Sequence[str] = (), size: float | None = None) -> DataFrame:
+def shape_join(left: DataFrame, right: DataFrame, method: str, on: Sequence[str] = ()) -> DataFrame:
     """Pairs ``left METHOD right`` as a.* and b.*: by boxes, and by polygons where either side has them."""
-    size = bin_size(left) if size is None else size
     if not polygons_.is_polygons(left) and not polygons_.is_polygons(right):
-        return box_join(left, right, size, lambda a, b: predicate(method, a, b), on)
-    pairs = box_join(left, right, size, meets, on)
+        return box_join(left, right, lambda a, b: predicate(method, a, b), on)
+    pairs = box_join(left, right, meets, on)
     return pairs.where(polygons_.related_by(method, polygons_.relation(_shape(left, "a."), _shape(right, "b."))))
 
 
@@ -161,7 +165,7 @@ def deduplicate_neighbors(
     # The last group is never the earlier one of a pair, nor the first one the later: of two groups each is on one side only.
     group = F.col(split_by)
     low, high = working.agg(F.min(group), F.max(group)).first()
-    pairs = box_join(working.where(group < high), working.where(group > low), bin_size(working), shares_area, partition_by, F.col(f"a.{split_by}") < F.col(f"b.{split_by}"))
+    pairs = box_join(working.where(group < high), working.where(group > low), shares_area, partition_by, F.col(f"a.{split_by}") < F.col(f"b.{split_by}"))
     # What needs no polygons goes first.
     if centroid_tolerance is not None:
         target = crs if distance_crs is None else distance_crs
@@ -247,14 +251,14 @@ def deduplicate_by_footprint(features: DataFrame, footprints: DataFrame, split_b
     ranks = footprint_rank(footprints, keep_rules, split_by)
     shape = geometry(footprints)
     used = footprints.join(features.select(split_by).distinct(), split_by, "left_semi").join(ranks, split_by).select(split_by, "rank", *shape)
-    both = box_join(used, used, bin_size(used), meets, extra=F.col("a.rank") < F.col("b.rank"))
+    both = box_join(used, used, meets, extra=F.col("a.rank") < F.col("b.rank"))
     if polygons_.is_polygons(footprints):
         both = both.select(F.col(f"b.{split_by}").alias(split_by), F.explode(polygons_.common_parts(F.col(f"a.{polygons_.COLUMN}"), F.col(f"b.{polygons_.COLUMN}"))).alias("part"))
         both = both.select(split_by, F.array("part").alias(polygons_.COLUMN))
         zones = cut(both.select(split_by, polygons_.COLUMN, *[v.alias(k) for k, v in polygons_.bounds(F.col(polygons_.COLUMN)).items()]))
     else:
         zones = cut(both.select(F.col(f"b.{split_by}").alias(split_by), *[v.alias(k) for k, v in intersection(Box("a."), Box("b.")).items()]).distinct())
-    hit = shape_join(features.select(split_by, key, *geometry(features)), zones, "intersects", [split_by], max(bin_size(features), bin_size(zones) / 4))
+    hit = shape_join(features.select(split_by, key, *geometry(features)), zones, "intersects", [split_by])
     hit = hit.select(F.col(f"a.{key}").alias(key)).distinct().withColumn("hit", F.lit(True))
     return features.join(hit, key, "left").select(*[c for c in features.columns if c != label], (normal(F.col(label)) | F.col("hit").isNotNull()).alias(label))
 
