@@ -133,7 +133,7 @@ def test_tiles_of_polygons(spark):
 def test_deduplication_of_polygons(spark):
     """Against all pairs by the plain overlap, with groups in turn, and a polygon a thousand times larger than the rest."""
     rng = np.random.default_rng(5)
-    rows = [row(k, f"g{k % 4}", float(rng.integers(0, 30)), [star(rng, 7, rng.uniform(0, 9, 2), 1.2)]) for k in range(150)]
+    rows = [row(k, f"g{k % 4}", float(rng.integers(0, 30)), [star(rng, 7, rng.uniform(0, 9, 2), 1.2)]) for k in range(90)]
     rows.append(row(900, "g1", 99.0, [[(-2000, -2000), (4000, -2000), (4000, 4000), (-2000, 4000), (-2000, -2000)], [(4, 4), (4, 2000), (2000, 2000), (2000, 4), (4, 4)]]))
     df = frame(spark, rows).repartition(4)
     shape = {r[0]: [np.array(x) for x in r[3][0]] for r in rows}

@@ -48,13 +48,14 @@ COARSER = 8.0
 
 
 def bins_of(left: DataFrame, right: DataFrame) -> tuple[float, list[int]]:
-    """Size of the finest bins, twice the mean extent of ``left``, and which coarser ones there are: a small aggregation of each
-    side, and one more of their sizes if any box is larger than the finest bins."""
+    """Size of the finest bins, twice the mean extent of ``left`` or a little more, and which coarser ones there are: a small
+    aggregation of each side, and one more of their sizes if any box is far larger than the finest bins."""
     w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     found = [df.agg(F.avg(w), F.avg(h), F.max(F.greatest(w, h))).first() for df in ([left] if left is right else [left, right])]
     size = 2 * max(found[0][0] or 0.0, found[0][1] or 0.0) or 1.0
-    if max(f[2] or 0.0 for f in found) <= size:
-        return size, [0]
+    top = max(f[2] or 0.0 for f in found)
+    if top <= 2 * size:
+        return max(size, top), [0]
     sizes = [df.select(_level(size).alias("lv")) for df in (left, right)]
     return size, sorted(r.lv for r in sizes[0].unionByName(sizes[1]).where("lv is not null").distinct().collect())  # a few numbers
 
@@ -67,14 +68,17 @@ def _level(size: float) -> Column:
 
 def binned(boxes: DataFrame, size: float, levels: Sequence[int] = (0,)) -> DataFrame:
     """Boxes once for each bin (lv, bx, by) that they meet, of their own size ``own_lv`` and of all coarser ones in ``levels``."""
-    out = boxes.withColumn("own_lv", _level(size) if len(levels) > 1 else F.lit(levels[0]))
-    out = out.withColumn("lv", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda v: v >= F.col("own_lv"))))
-    at = lambda c: F.floor(F.col(c) / _width(size, F.col("lv")))
+    if len(levels) > 1:
+        out = boxes.withColumn("own_lv", _level(size))
+        out = out.withColumn("lv", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda v: v >= F.col("own_lv"))))
+    else:
+        out = boxes
+    at = lambda c: F.floor(F.col(c) / _width(size, levels, "lv"))
     return out.withColumn("bx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("by", F.explode(F.sequence(at("y0"), at("y1"))))
 
 
-def _width(size: float, level: Column) -> Column:
-    return F.lit(size) * F.pow(F.lit(COARSER), level)
+def _width(size: float, levels: Sequence[int], level: str) -> Column:
+    return F.lit(size) * F.pow(F.lit(COARSER), F.col(level)) if len(levels) > 1 else F.lit(size * COARSER ** levels[0])
 
 
 def box_join(left: DataFrame, right: DataFrame, test: Callable[[Box, Box], Column], on: Sequence[str] = (), extra: Column | None = None) -> DataFrame:
@@ -82,12 +86,15 @@ def box_join(left: DataFrame, right: DataFrame, test: Callable[[Box, Box], Colum
     a, b = Box("a."), Box("b.")
     c = intersection(a, b)
     size, levels = bins_of(left, right)
-    width = _width(size, F.col("a.lv"))
+    several = len(levels) > 1
+    width = _width(size, levels, "a.lv")
     once = (F.col("a.bx") == F.floor(c["x0"] / width)) & (F.col("a.by") == F.floor(c["y0"] / width))
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("bx", "by", "lv", *on)]
-    own = [F.col("a.lv") == F.greatest("a.own_lv", "b.own_lv")] if len(levels) > 1 else []
-    every = [*same, *own, meets(a, b), once, test(a, b), *([extra] if extra is not None else [])]
-    return binned(left, size, levels).alias("a").join(binned(right, size, levels).alias("b"), reduce(lambda x, y: x & y, every))
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("bx", "by", *(["lv"] if several else []), *on)]
+    own = [F.col("a.lv") == F.greatest("a.own_lv", "b.own_lv")] if several else []
+    # Cheap tests come first. Sides that are small enough to be broadcast are dealt out by bins all the same: a broadcast
+    # would leave all pairs to the tasks that read the other side, which may be few.
+    every = [*same, meets(a, b), *own, once, test(a, b), *([extra] if extra is not None else [])]
+    return binned(left, size, levels).alias("a").hint("merge").join(binned(right, size, levels).alias("b"), reduce(lambda x, y: x & y, every))
 
 
 def geometry(df: DataFrame) -> list[str]:
@@ -126,14 +133,13 @@ def clip_to_footprint(features: DataFrame, boundary: DataFrame | None, clip: boo
 
 
 def _loses(rules: Rules) -> Column:
-    """Of a pair whether the rules decide against b; ties do. Null if a rule has a null value."""
+    """Of a pair whose rules' values are known: whether they decide against b; ties do."""
     out = F.lit(True)
     for name, up in reversed(list(zip(*keep_rules_to_sort_order(rules), strict=True))):
         a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
         better, worse = (a < b, a > b) if up else (a > b, a < b)
         out = F.when(better, True).when(worse, False).otherwise(out)
-    known = reduce(lambda x, y: x & y, [F.col(f"{s}.{n}").isNotNull() for n, _ in rules for s in "ab"])
-    return F.when(known, out)
+    return out
 
 
 def deduplicate_neighbors(
@@ -165,25 +171,24 @@ def deduplicate_neighbors(
     # The last group is never the earlier one of a pair, nor the first one the later: of two groups each is on one side only.
     group = F.col(split_by)
     low, high = working.agg(F.min(group), F.max(group)).first()
-    pairs = box_join(working.where(group < high), working.where(group > low), shares_area, partition_by, F.col(f"a.{split_by}") < F.col(f"b.{split_by}"))
-    # What needs no polygons goes first.
-    if centroid_tolerance is not None:
-        target = crs if distance_crs is None else distance_crs
-        centre = lambda p: (F.col(f"{p}cx_"), F.col(f"{p}cy_")) if exact else Box(p).centroid
-        (ax, ay), (bx, by) = (crs_.reproject(*centre(p), crs, target) for p in ("a.", "b."))
-        pairs = pairs.where(F.hypot(ax - bx, ay - by) <= centroid_tolerance)
-    b_loses = _loses(keep_rules)
-    pairs = pairs.where(b_loses.isNotNull())
+    known = reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n, _ in keep_rules])
+    able = working.where(known)  # a null rule value decides nothing
     common = intersection_area(Box("a."), Box("b."))
 
-    def enough(common: Column) -> Column | None:
-        if overlap_tolerance is None:
-            return None
-        ia, ib = common / F.col(f"a.{AREA}") > overlap_tolerance, common / F.col(f"b.{AREA}") > overlap_tolerance
+    def enough(common: Column) -> Column:
+        ia, ib = (common > F.lit(overlap_tolerance) * F.col(f"{side}.{AREA}") for side in "ab")
         return ia & ib if overlap_both else ia | ib
 
+    tests = [F.col(f"a.{split_by}") < F.col(f"b.{split_by}")]
     if overlap_tolerance is not None:
-        pairs = pairs.where(enough(common))  # polygons share no more than their bounds do
+        tests.append(enough(common))  # polygons share no more than their bounds do
+    if centroid_tolerance is not None:
+        target = crs if distance_crs is None else distance_crs
+        centre = lambda p: (F.col(f"{p}cx_"), F.col(f"{p}cy_")) if exact else Box(p).centroid
+        (ax, ay), (bx, by) = (crs_.reproject(*centre(p), crs, target) for p in ("a.", "b."))
+        tests.append(F.hypot(ax - bx, ay - by) <= centroid_tolerance)
+    pairs = box_join(able.where(group < high), able.where(group > low), shares_area, partition_by, reduce(lambda x, y: x & y, tests))
+    b_loses = _loses(keep_rules)
     if exact:
         shared = polygons_.shared_area(F.col(f"a.{polygons_.COLUMN}"), F.col(f"b.{polygons_.COLUMN}"))
         pairs = pairs.withColumn("shared_", shared)
@@ -199,9 +204,11 @@ def deduplicate_neighbors(
         turn = F.struct(F.col(f"a.{split_by}").alias("g1"), F.col(f"b.{split_by}").alias("g2")).alias("turn")
         removed = _in_turn(pairs.select(loser, F.when(b_loses, of("a")).otherwise(of("b")).alias("winner"), turn))
     keys = [*partition_by, key]
-    removed = (removed.select("loser.*") if partition_by else removed.select(F.col("loser").alias(key))).distinct().withColumn("gone", F.lit(True))
-    out = features.join(removed, keys, "left")
-    return out.select(*[c for c in features.columns if c != label], F.coalesce("gone", F.lit(False)).alias(label))
+    removed = removed.distinct().select(*[(F.col(f"loser.{c}") if partition_by else F.col("loser")).alias(f"loser_{k}") for k, c in enumerate(keys)], F.lit(True).alias("gone"))
+    # Null-safe, as a plain equality would have the loser tested for null first of all in the join above.
+    own = reduce(lambda x, y: x & y, [F.col(f"f.{c}").eqNullSafe(F.col(f"r.loser_{k}")) for k, c in enumerate(keys)])
+    out = features.alias("f").join(removed.alias("r"), own, "left")
+    return out.select(*[F.col(f"f.{c}") for c in features.columns if c != label], F.coalesce("r.gone", F.lit(False)).alias(label))
 
 
 def _in_turn(pairs: DataFrame) -> DataFrame:
