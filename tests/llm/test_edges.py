@@ -68,7 +68,7 @@ def base_spans(t):
 
 def test_secrets(spark):
     h = "0123456789abcdef" * 3
-    texts = [f"token = \"{h}\" é😀 API_KEY:'x.y=z123'", None, "", f"😀{h} secret=token:abcdefgh", "AKIA" + "Q" * 16 + " AKIAQ", f"passwd = short {h[:23]}G{h[:24]}", f"bare {h} and token={h}x", LONG + f"Token=é apikey = {h[:30]}", "a" * 30000, "ſecret=abcdefgh"]
+    texts = [f"token = \"{h}\" é😀 API_KEY:'x.y=z123'", None, "", f"😀{h} secret=token:abcdefgh", "AKIA" + "Q" * 16 + " AKIAQ", f"passwd = short {h[:23]}G{h[:24]}", f"bare {h} and token={h}x", LONG + f"Token=é apikey = {h[:30]}", "a" * 30000, "ſecret=abcdefgh", "token=AKIA" + "0123456789" * 3 + " x", "x=" + "word " * 200_000 + "api-key=abcdefghij" + " AKIA" + "Z" * 40_000]
     rows = [(k, t, "en", f"s{k % 2}") for k, t in enumerate(texts)] + [(0, texts[0], None, None), (None, texts[0], "en", "s9")]
     df = spark.createDataFrame([(*r, 1, "e") for r in rows], "doc_id long, text string, lang string, source string, row int, kind string")
     got = sorted((str(r.doc_id), r.base_sha256, r.n_assign + r.n_access + r.n_hex) for r in op05_secrets.secrets(df).collect())

@@ -56,6 +56,13 @@ def test_copies_and_odd_rows(spark, monkeypatch):
     assert m.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_ties_at_the_last_rank(spark):
+    """Of different vectors with equal scores the smaller ids are the results."""
+    rows = [(0, [1.0, 0.0])] + [(k, [0.5, 0.25 * k]) for k in range(15, 0, -1)]
+    got = results(m.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 5))
+    assert got == {0: [(k, 0.5) for k in range(1, 6)]}
+
+
 @pytest.mark.parametrize("lengths", ["equal", "uneven", "heavy"])
 def test_recall_on_skew(spark, tmp_path, lengths):
     """A third of 40,000 vectors in one tight group: their pivots don't spoil the search for the others."""
