@@ -16,7 +16,7 @@ from .functions import crs, paths, polygons, registry, rings
 from .functions.box import PREDICATES, Box
 from .operators import cells, checks, dedup
 from .operators.grid import COLUMN, ROW, Grid, children, level_of, parent, tile_bounds
-from .plans import prep, staging
+from .plans import hex_runs, prep, staging
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -705,6 +705,92 @@ def polygon_dedup_footprint(spark, sf_dir):
     return dedup.deduplicate_by_footprint(shapes, fixtures.load(spark, sf_dir, "footprint"), "filename", [("yr", "larger")]).select("fid", "filename", "staging_duplicated")
 
 
+@query(f"select fid, (x0 + cx) / 2 as x, cy as y, false as is_empty, 'Polygon' as kind, 0.75e0 * area as area from {FEAT}")
+def polygon_accessors(spark, sf_dir):
+    """A point inside, emptiness, type and area, the last two through well-known binary and back."""
+    out = _ells(spark, sf_dir).withColumn("wkb", polygons.to_wkb(F.col("polygons"))).withColumn("back", polygons.from_wkb(F.col("wkb")))
+    x, y = polygons.representative_point(F.col("polygons"))
+    area = polygons.measures(F.col("back"))["area"]
+    return out.select("fid", x.alias("x"), y.alias("y"), polygons.is_empty(F.col("polygons")).alias("is_empty"), rings.geometry_type(F.col("wkb")).alias("kind"), area.alias("area"))
+
+
+@query(f"select filename, count(*) as n, count(*) as n_ids from {FEAT} where geom_type in ('Polygon', 'MultiPolygon') group by filename")
+def feature_identifiers(spark, sf_dir):
+    """Features and their identifiers by file: each has one of its own, and keeps it in all of its tiles."""
+    staged = staging.stage(_ells(spark, sf_dir), CONFIG, F.col("filename"))
+    return staged.groupBy("filename").agg(F.count_distinct("fid").alias("n"), F.count_distinct("staging_identifier").alias("n_ids"))
+
+
+_HEX_ELL = f"""with f as (select *, cast(round(price * 100) as bigint) as cents from {FEAT}), rr as (select *, unnest(range(cast(ceil(y0 / {_H}) as bigint), cast(floor(y1 / {_H}) as bigint) + 1)) as r from f),
+cc as (select *, unnest(range(cast(ceil(x0 / {_W} - r / 2) as bigint), cast(floor(x1 / {_W} - r / 2) as bigint) + 1)) as q from rr),
+ee as (select fid, cents, q, r from (select *, (q + r / 2e0) * {_W} as px, r * {_H} as py from cc) where (py >= y0 and py < cy and px >= x0 and px < x1) or (py >= cy and py < y1 and px >= x0 and px < cx)),
+own as (select fid, cents, q, r from ({_HEX_OF.format(q=_Q, r=_R, t="(select fid, cents, (x0 + cx) / 2 as x, cy as y from f where fid not in (select fid from ee))")})), every as (select * from ee union all select * from own)"""
+
+
+@query(_HEX_ELL + " select q, r, count(*) as _count, cast(sum(cents) as bigint) as sum_cents from every group by q, r")
+def polygon_hex_summary(spark, sf_dir):
+    """L-shapes by the hexagons whose centres they hold, else by that of a point inside."""
+    shapes = _ells(spark, sf_dir).withColumn("cents", F.round(F.col("price") * 100).cast("bigint"))
+    return cells.hex_summary(shapes, HEX, ["cents"]).select("q", "r", "_count", "sum_cents")
+
+
+@query(f"select distinct q, r, round((q + r / 2e0) * {_W}, 6) + 0e0 as x, r * {_H} as y, round({HEX.area!r}e0, 6) as area, 7 as n_points from ({_HEX_OF.format(q=_Q, r=_R, t=PTS)})")
+def hex_cell_polygons(spark, sf_dir):
+    q, r = HEX.cell_of_point(F.col("x"), F.col("y"))
+    shape = fixtures.load(spark, sf_dir, "pts").select(q.alias("q"), r.alias("r")).distinct().withColumn("polygons", HEX.polygon(F.col("q"), F.col("r")))
+    m = polygons.measures(F.col("polygons"))
+    return shape.select("q", "r", (F.round(m["x"], 6) + 0.0).alias("x"), (F.round(m["y"], 6) + 0.0).alias("y"), F.round(m["area"], 6).alias("area"), F.size(F.get(F.get("polygons", 0), 0)).alias("n_points"))
+
+
+@query(f"""select '/staged/vec/WGS1984Quad/5/' || x || '/' || y || '.gpkg' as path, '/staged/vec/WGS1984Quad/4/' || (x // 2) || '/' || (y // 2) || '.gpkg' as parent,
+'/staged/vec/WGS1984Quad/6/' || (2 * x + a) || '/' || (2 * y + b) || '.gpkg' as child from {_TILES}, (values (0), (1)) p(a), (values (0), (1)) q(b)""")
+def tile_path_family(spark, sf_dir):
+    path = _PATHS.path(F.col("x"), F.col("y"), F.col("z"), "/staged", "vec", ".gpkg").alias("path")
+    return _tiles(spark, sf_dir).select(path).select("path", _PATHS.parent_path(F.col("path")).alias("parent"), F.explode(_PATHS.child_paths(F.col("path"))).alias("child"))
+
+
+@query("""select path, '/hex' || regexp_replace(path[6:], '[.][^./]*$', '') || '_h3r5.gpkg' as hex_path, '/foot' || regexp_replace(path[6:], '[^/]*$', '') || 'fp_' || regexp_extract(path, '([^/.]*)[^/]*$', 1) || '.shp' as footprint,
+'fp_' || regexp_extract(path, '([^/]*)/[^/]*$', 1) || '.shp' as of_dir, case when path like '%.shp' then path else path || '.shp' end as name from (""" + fixtures.duck("main_paths") + ")")
+def footprint_paths(spark, sf_dir):
+    p = F.col("path")
+    return fixtures.load(spark, sf_dir, "main_paths").select(
+        "path", hex_runs.output_path(p, "/main", "hex", 5).alias("hex_path"), prep.footprint_path(p, "/main", "/foot", "fp_").alias("footprint"),
+        prep.dir_to_filename(F.regexp_replace(p, "/[^/]*$", ""), "fp_").alias("of_dir"), prep.id_to_name(p, ".shp").alias("name"),
+    )
+
+
+@query("""with f as (select 'foot/' || s_suppkey || '.shp' as p, s_suppkey % 40 as k from supplier), d as (select case when p_partkey % 29 = 0 then p_size % 40 else 40 + p_partkey end as k, 'in/' || p_partkey as path from part),
+m as (select p, case count(path) when 0 then 'no_match' when 1 then 'matched' else 'multiple_matches' end as status from f left join d using (k) group by p) select status, count(*) as n from m group by status""")
+def footprint_status_counts(spark, sf_dir):
+    return prep.status_counts(footprint_dir_match(spark, sf_dir))
+
+
+@query(f"""with m as (select path, regexp_extract(path, '[^/]*$') as name from ({fixtures.duck('main_paths')})), p as (select path, regexp_extract(path, '[^/]*$') as name from ({fixtures.duck('preferred')}))
+select (select count(*) from m) as n_main, (select count(distinct name) from m where name in (select name from p)) as n_replaced, (select count(*) from p) as n_preferred, (select count(*) from p where name not in (select name from m)) as n_unused""")
+def preferred_report(spark, sf_dir):
+    preferred = fixtures.load(spark, sf_dir, "preferred")
+    return prep.replacement_report(prep.preferred_paths(fixtures.load(spark, sf_dir, "main_paths"), preferred), preferred)
+
+
+@query(f"""select 'row' as side, cast({GRID.first_row_i + GRID.nrows - 1} - k as bigint) as i, {GRID.miny} + {GRID.height} * k / {GRID.nrows} as low, {GRID.cell_height}::double as size from (select unnest(range({GRID.nrows})) as k)
+union all select 'column', cast({GRID.first_col_i} + k as bigint), {GRID.minx} + {GRID.width} * k / {GRID.ncols}, {GRID.cell_width}::double from (select unnest(range({GRID.ncols})) as k)""")
+def grid_indices(spark, sf_dir):
+    """The grid's indices from south and from west, with their lower fences and sizes."""
+    rows = [("row", i, low, GRID.cell_height) for i, low in zip(GRID.row_indices, GRID.row_fences[:-1], strict=True)]
+    cols = [("column", i, low, GRID.cell_width) for i, low in zip(GRID.col_indices, GRID.col_fences[:-1], strict=True)]
+    return spark.createDataFrame(rows + cols, "side string, i long, low double, size double")
+
+
+@query(f"select f.fid, {_NAME} as tile from {FEAT} f join {_LEVEL} t on {_ell_meets('f', 't')}")
+def polygon_sjoin_tiles(spark, sf_dir):
+    return level_of("WGS1984Quad", Z).sjoin(_ells(spark, sf_dir), "inner", as_tile=Z).select("fid", "tile")
+
+
+@query(f"select fid, tile, sum(area) as area from (select f.fid, {_NAME} as tile, {_common_sql(_of(_LOW, 'f'), _of(_WHOLE, 't'))} + {_common_sql(_of(_TALL, 'f'), _of(_WHOLE, 't'))} as area from {FEAT} f join {_LEVEL} t on {_AREA}) where area > 0 group by all")
+def polygon_overlay_tiles(spark, sf_dir):
+    return level_of("WGS1984Quad", Z).overlay(_ells(spark, sf_dir).select("fid", "x0", "x1", "y0", "y1", "polygons"), as_tile=Z).select("fid", "tile", "area")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship: features to tiles to the summary by file and tile, on the smallest tables."""
     return staging_summary(spark, "/root/testdata/sf0.001")
