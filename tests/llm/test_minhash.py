@@ -104,3 +104,29 @@ def test_edges(spark):
         (6, 2, 6, True), (6, 2, 6, True), (7, 2, 6, False), (8, 2, 6, False), (9, 1, 9, True),
     ], key=lambda r: (r[0], r[1], r[2] or 0))
     assert m.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_group_with_strangers(spark, monkeypatch):
+    """Near copies of one text, and texts that share most of its buckets but no link with it: each class of the group is
+    sent to be compared about once, not once for each bucket."""
+    rng = np.random.default_rng(7)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for k in range(440):
+        w = base.copy()
+        for at in rng.choice(50, 1 if k < 400 else 7, replace=False).tolist():
+            w[2 * at] = f"x{k}_{at}"
+        rows.append((k, " ".join(w)))
+    sent, dealt = [], m._dealt
+
+    def counted(left):
+        out = dealt(left)
+        sent.append((out.count(), left.select("rep").distinct().count()))
+        return out
+
+    monkeypatch.setattr(m, "_dealt", counted)
+    monkeypatch.setattr(m, "BLOCK", 100)
+    got = m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 2, 80)
+    assert len({r.component_id for r in got}) > 20
+    assert sent and all(n <= 4 * classes for n, classes in sent)
