@@ -66,3 +66,35 @@ def test_suffix_array():
         assert [b[i : i + 200] for i in sa] == [b[i : i + 200] for i in order]
         same = common_prefixes(t, sa, 200) >= 200
         assert all(same[j] == (b[sa[j - 1] : sa[j - 1] + 200] == b[sa[j] : sa[j] + 200]) for j in range(1, n) if max(sa[j - 1], sa[j]) + 200 <= n)
+
+
+def test_prefixes_of_suffixes_that_tie():
+    """Suffixes that are equal as far as they are sorted, and in the other order a few bytes on."""
+    rng = np.random.default_rng(2)
+    for letters in (2, 4, 26):
+        base = rng.integers(97, 97 + letters, (4, 700))
+        parts = []
+        for k in range(60):
+            parts.append(base[k % 4, rng.integers(0, 300) : rng.integers(560, 701)].copy())
+            parts[-1][rng.integers(0, len(parts[-1]))] = 96
+        t = np.concatenate(parts).astype(np.uint8)
+        sa, b = suffix_array(t, 200), t.tobytes()
+        got = common_prefixes(t, sa, 200)
+        for j in range(1, len(t)):
+            x, y = (b[i : i + 200] for i in sa[j - 1 : j + 1])
+            if len(x) == len(y) == 200:
+                assert got[j] == next((i for i in range(200) if x[i] != y[i]), 200)
+
+
+def test_near_copies_and_smallest_id(spark):
+    """Passages that share more than 256 bytes and differ in one; the smallest long and null are different ids."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abc"), n))
+    base, pairs = [word(1200) for _ in range(5)], []
+    for k in range(600):
+        text = list(base[k % 5][rng.integers(0, 800) :])
+        text[rng.integers(0, len(text))] = "z"
+        pairs.append((k, word(rng.integers(0, 150)) + "".join(text) + word(rng.integers(0, 150))))
+    pairs += [(-(1 << 63), word(300)), (None, word(300)), (-(1 << 63), base[0]), (None, base[0]), (-(1 << 63), None)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(5)
+    assert rows(m.remove_repeats(df)) == want(pairs, 200)

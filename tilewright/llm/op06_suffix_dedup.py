@@ -249,11 +249,12 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, h, spans): for each text, by id and hash, the sorted spans of bytes to remove; they may overlap.
 
-    A null doc_id is kept as the smallest long. Texts shorter than ``width`` bytes have no spans.
+    A null doc_id is kept as the smallest long; rows that have that one share the spans of equal texts.
+    Texts shorter than ``width`` bytes have no spans.
     """
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = _keyed(docs).where(F.octet_length("text") >= width)
+    keyed = _keyed(docs).drop("id").where(F.octet_length("text") >= width)
     path = fresh_path(spark, "anchors")
     keyed.mapInArrow(_occurrences(width), "doc_id long, h long, a long, c long, first long, n int").write.parquet(path)
     found = spark.read.parquet(path)
@@ -287,7 +288,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return texts(docs).select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    return texts(docs).select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text", F.col("doc_id").cast("long").alias("id"))
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -297,9 +298,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Columns besides doc_id and text are ignored.
     """
     spans = repeated_spans(docs, width)
-    out = _keyed(docs).join(spans, ["doc_id", "h"], "left").select("doc_id", "text", "spans")
-    out = out.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(-(1 << 63))))
+    out = _keyed(docs).join(spans, ["doc_id", "h"], "left").select(F.col("id").alias("doc_id"), "text", "spans")
+    return out.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

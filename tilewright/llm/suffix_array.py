@@ -49,14 +49,16 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(text: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     """For each place in ``sa``: how many first bytes its suffix shares with the one before, ``cap`` at most.
 
-    Kasai: from one position of the text to the next a common prefix shrinks by one byte at most. The text
-    is cut into lanes, and all lanes take a step at once.
+    Kasai: from one position of the text to the next a common prefix shrinks by one byte at most, as long as
+    the two suffixes keep their order. Suffixes that tie as far as ``sa`` is sorted may change it; from there
+    on nothing is known. The text is cut into lanes, and all lanes take a step at once.
     """
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
     word = _words(text, cap + 16)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1
     rank[sa] = np.arange(n)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
@@ -82,5 +84,7 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
             live = live[k[live] < cap]
         np.minimum(k, cap, out=k)
         out[rank[i]] = np.where(q < 0, 0, k)
+        tied = np.flatnonzero(k == cap)
         k = np.maximum(k - 1, 0)
+        k[tied[rank[q[tied] + 1] > rank[i[tied] + 1]]] = 0
     return out
